@@ -308,7 +308,7 @@ WITH j AS (
   SELECT substr(o_orderpriority, 3, 4) || l_orderkey AS mission, o_orderstatus AS destination, l_linenumber AS n,
          CAST(o_orderdate AS DATE) AS service_date,
          epoch_us(l_shipdate + INTERVAL 1 DAY) AS planned_us,
-         epoch_us(l_shipdate + INTERVAL 1 DAY + CAST(l_quantity AS INTEGER) * INTERVAL 1 HOUR) AS real_us
+         epoch_us(l_shipdate + INTERVAL 1 DAY + CAST(l_quantity AS INTEGER) * INTERVAL 1 MINUTE) AS real_us
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 calls AS (
   SELECT j.*, 'planned' AS kind, n AS stop_id, planned_us AS t_us,
