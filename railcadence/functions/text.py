@@ -36,29 +36,30 @@ def corrected_destination(
     return destination if out is None else out.otherwise(destination)
 
 
-def _strip_marks(col: Column) -> Column:
-    """NFKD without combining marks; there is no built-in for it.
+def _decomposed(col: Column) -> Column:
+    """Unicode NFKD form; there is no built-in for it.
 
     The function is local so that it travels with the plan and executors need
     no copy of this package.
     """
 
     @F.pandas_udf("string")
-    def strip(values: pd.Series) -> pd.Series:
-        def fold(text):
-            return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+    def nfkd(values: pd.Series) -> pd.Series:
+        return values.map(lambda text: unicodedata.normalize("NFKD", text), na_action="ignore")
 
-        return values.map(fold, na_action="ignore")
-
-    return strip(col)
+    return nfkd(col)
 
 
 def normalize_key(name: Column) -> Column:
-    """Name to a column-safe key: no bracketed part, no accents, lower case, ``_`` between words."""
+    """Name to a column-safe key: no bracketed part, no accents, lower case, ``_`` between words.
+
+    Accents are separate marks after decomposition and go with everything else
+    that is neither letter, digit nor ``_``.
+    """
     bare = F.regexp_replace(name, r"\([^\n]*?\)", "")
     accented = F.when(bare.rlike(r"[^\x00-\x7F]"), bare)  # ASCII text is not sent to Python
-    folded = F.coalesce(_strip_marks(accented), bare)
+    folded = F.coalesce(_decomposed(accented), bare)
     key = F.regexp_replace(F.lower(folded), "[ -]", "_")
-    key = F.regexp_replace(key, r"[^\p{L}\p{N}_]", "")
+    key = F.regexp_replace(key, r"[^\p{L}\p{N}_]+", "")
     key = F.regexp_replace(key, "_+", "_")
     return F.btrim(key, F.lit("_"))

@@ -42,20 +42,12 @@ def with_previous(
     # the value at the end of the slice, seen from every row of it
     to_end = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    sliced = (
-        instants
-        .withColumn("_slice", F.floor(F.col(us) / F.lit(float(slice_seconds) * 1e6)).cast("bigint"))
-        .withColumn("_prev", F.lag(fields).over(in_order))
-        .withColumn("_last", F.last(fields).over(to_end))
-    )
-    inner = sliced.where(F.col("_prev").isNotNull()).drop("_last")
+    sliced = instants.withColumn(
+        "_slice", F.floor(F.col(us) / F.lit(float(slice_seconds) * 1e6)).cast("bigint")
+    ).withColumns({"_prev": F.lag(fields).over(in_order), "_last": F.last(fields).over(to_end)})
+    inner = sliced.where(F.col("_prev").isNotNull())
     across = Window.partitionBy(*group).orderBy("_slice")
-    heads = (
-        sliced.where(F.col("_prev").isNull())
-        .withColumn("_prev", F.lag("_last").over(across))
-        .drop("_last")
+    heads = sliced.where(F.col("_prev").isNull()).withColumn("_prev", F.lag("_last").over(across))
+    return inner.unionByName(heads).select(
+        *instants.columns, *[F.col("_prev")[c].alias(f"prev_{c}") for c in taken]
     )
-    out = inner.unionByName(heads)
-    for c in taken:
-        out = out.withColumn(f"prev_{c}", F.col("_prev")[c])
-    return out.drop("_prev", "_slice")

@@ -122,6 +122,8 @@ def siri_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     delivery = F.struct(F.array(frame).alias("EstimatedJourneyVersionFrame"))
     service = F.struct(F.array(delivery).alias("EstimatedTimetableDelivery"))
     doc = F.struct(F.struct(service.alias("ServiceDelivery")).alias("Siri"))
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    # a merge join spreads the rows over all tasks before the costly JSON work,
+    # however few files the tables have
+    return lineitem.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.to_json(doc).alias("payload"), F.col("o_orderdate").alias("landed_at")
     )

@@ -31,6 +31,9 @@ def build_session(app_name: str = "railcadence", **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -39,11 +42,12 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="railcadence-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="railcadence-")
+    return _local_roots[context.applicationId]
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:

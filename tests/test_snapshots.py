@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from railcadence.operators import clean, load, reshape
+from railcadence.sinks.tables import write_snapshot
+from railcadence.sources import snapshots as N
+
+NOW = "2026-04-17 08:00:00"
+
+
+def lines_of(spark, files):
+    data = [(name, line) for name, text in files.items() for line in text.splitlines()]
+    return spark.createDataFrame(data, "file_name string, line string")
+
+
+def test_newest_file_of_a_prefix(spark, tmp_path):
+    names = {"horaires_reels_20260417_051002.csv": 300, "horaires_reels_20260417_061002.csv": 100,
+             "horaires_theoriques_20260417_071002.csv": 900, "horaires_reels_mauvais.csv": 999, "horaires_reels_1_2.csv": 998}
+    for name, mtime in names.items():
+        (tmp_path / name).write_text("mission\nA\n")
+        os.utime(tmp_path / name, (1776000000 + mtime,) * 2)
+    files = N.list_files(spark, str(tmp_path))
+    assert files.count() == 5
+    assert [r["file_name"] for r in N.latest_snapshot(files, "horaires_reels").collect()] == ["horaires_reels_20260417_051002.csv"]
+    assert N.latest_snapshot(files, "nothing").collect() == []
+
+
+def test_ledger(spark, rows):
+    files = spark.createDataFrame([("a",), ("b",), ("c",)], "file_name string")
+    assert rows(load.files_to_load(files, None)) == [("a",), ("b",), ("c",)]
+    ledger = load.ledger_rows(spark.createDataFrame([("a",), ("a",), ("c",)], "file_name string"), NOW)
+    assert ledger.count() == 2
+    assert rows(load.files_to_load(files, ledger)) == [("b",)]
+
+
+def test_lines_follow_their_own_header(spark, rows):
+    lines = lines_of(spark, {
+        "f1": 'mission,destination,Antony,Rémy\nA,"x, ""y""",2026-04-17T07:00:00+02:00,NA\nB,z,1,2,3\nC,z',
+        "f2": "mission,Rémy,destination\nD,2026-04-17 08:00:00+02:00,w",
+    })
+    got, rejects = N.snapshot_rows(lines, ["mission", "destination", "date_observation"])
+    out = {r["mission"]: r for r in got.collect()}
+    assert set(out) == {"A", "C", "D"}
+    assert out["A"]["destination"] == 'x, "y"' and out["D"]["destination"] == "w"
+    assert [tuple(s) for s in out["A"]["stops"]] == [("Antony", "2026-04-17T07:00:00+02:00"), ("Rémy", None)]
+    assert [tuple(s) for s in out["C"]["stops"]] == [("Antony", None), ("Rémy", None)]
+    assert [tuple(s) for s in out["D"]["stops"]] == [("Rémy", "2026-04-17 08:00:00+02:00")]
+    assert out["D"]["date_observation"] is None
+    assert rows(rejects) == [("f1", "B,z,1,2,3")]
+
+
+def test_snapshot_passages(spark):
+    lines = lines_of(spark, {"f": (
+        "mission,type_mission,destination,Saint-Rémy,Antony,gare_depart,nb_arrets_desservis,date_observation\n"
+        "KALI72,KALI,Massy,2026-04-17 07:10:00+02:00,2026-04-17 07:05:00+02:00,Antony,2,2026-04-17 07:00:00.5+02:00\n"
+        "ELYS66,ELYS,,,soon,,0,2026-04-17 07:00:00.5+02:00"
+    )})
+    rows_, _ = N.snapshot_rows(lines)
+    got = N.snapshot_passages(rows_, "planned").withColumn("s", F.date_format("t", "HH:mm")).collect()
+    assert sorted((r["mission"], r["stop_key"], r["s"], r["n_served"], r["origin"]) for r in got if r["t"]) == [
+        ("KALI72", "antony", "07:05", 2, "Antony"), ("KALI72", "saint_remy", "07:10", 2, "Antony")]
+    [empty] = [r for r in got if r["t"] is None]
+    assert (empty["mission"], empty["stop_key"], empty["ends_at"], empty["destination"], empty["direction"]) == ("ELYS66", None, None, "", "Nord")
+
+
+def test_written_snapshots_read_back(spark, tmp_path, rows):
+    calls = spark.createDataFrame([
+        ("KALI72", "KALI", "Massy, (x)", "Antony", 2, "saint_remy", "2026-04-17 07:10:00"),
+        ("KALI72", "KALI", "Massy, (x)", "Antony", 2, "antony", "2026-04-17 07:05:00"),
+        ("ELYS66", "ELYS", "", None, 0, None, None),
+    ], "mission string, mission_type string, destination string, origin string, n_served int, stop_key string, t string")
+    calls = calls.withColumns({"t": F.col("t").cast("timestamp"), "observed_at": F.lit("2026-04-17 07:00:00").cast("timestamp")})
+    frame = N.snapshot_frame(calls, [("saint_remy", "Saint-Rémy"), ("antony", "Antony"), ("laplace", "Laplace")])
+    assert frame.columns[3:6] == ["Saint-Rémy", "Antony", "Laplace"]
+    path = write_snapshot(frame, str(tmp_path), "horaires_theoriques", dt.datetime(2026, 4, 17, 7, 0, 0))
+    assert path.endswith("/horaires_theoriques_20260417_070000.csv")
+    [newest] = N.latest_snapshot(N.list_files(spark, str(tmp_path)).where(F.col("path").contains("/part-")), "horaires_theoriques").collect()
+    assert newest["file_name"] == "horaires_theoriques_20260417_070000.csv"
+    back, rejects = N.read_snapshot_csv(spark, path)
+    assert rejects.count() == 0
+    got = N.snapshot_passages(back, "planned")
+    want = calls.select("mission", "stop_key", "t", "destination", "n_served", "observed_at")
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
+@pytest.mark.parametrize("missions, kept", [
+    (["LORE90", "RATOPAL72", "KALI72", "RATPLORE90", None], ["KALI72", "LORE90", "RATOPAL72", None]),
+])
+def test_prefix_rule(spark, missions, kept):
+    df = spark.createDataFrame([(m,) for m in missions], "mission string")
+    assert sorted((r[0] for r in clean.drop_prefixed(df).collect()), key=str) == sorted(kept, key=str)
+
+
+def test_prefix_rule_without_a_mission_column(spark):
+    assert clean.drop_prefixed(spark.createDataFrame([("x", "y")], "Chatelet string, Antony string")).count() == 1
+
+
+def trips_frame(spark, data):
+    return spark.createDataFrame(data, "mission string, end string").select("mission", F.col("end").cast("timestamp").alias("ends_at"))
+
+
+def test_finished_rule_is_strict_and_keeps_trips_without_time(spark):
+    df = trips_frame(spark, [("LORE90", "2000-01-01 08:00:00"), ("KALI72", "2099-12-31 23:00:00"), ("ELYS66", None), ("EDGE00", NOW)])
+    assert sorted(r[0] for r in clean.drop_finished(df, NOW).collect()) == ["EDGE00", "ELYS66", "KALI72"]
+
+
+def test_both_rules_and_their_counters(spark):
+    df = trips_frame(spark, [("RATPLORE90", "2099-01-01 00:00:00"), ("LORE90", "2000-01-01 00:00:00"), ("KALI72", "2099-01-01 00:00:00"),
+                             ("RATPKALI72", "2000-01-01 00:00:00")])
+    assert [r["mission"] for r in clean.clean_passages(df, NOW).collect()] == ["KALI72"]
+    assert tuple(clean.clean_counters(df, NOW).first()) == (4, 2, 1, 1)
+
+
+def test_missing_columns_row_max_and_unpivot(spark, rows):
+    df = spark.createDataFrame([("A", 1, None), ("B", None, None), ("C", 2, 5)], "mission string, x int, y int")
+    wide = reshape.with_missing_columns(df, ["x", "z"], "int")
+    assert wide.columns == ["mission", "x", "y", "z"] and dict(wide.dtypes)["z"] == "int"
+    assert rows(wide.select("mission", reshape.row_max(["x", "y", "z"]).alias("m"))) == [("A", 1), ("B", None), ("C", 5)]
+    assert rows(reshape.unpivot_calls(wide, ["mission"], ["x", "y", "z"])) == [("A", "x", 1), ("C", "x", 2), ("C", "y", 5)]
