@@ -7,54 +7,69 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from railcadence.functions import times
-from railcadence.operators.ordered import SLICE_SECONDS, with_previous
+from railcadence.operators import ordered as O
 
 GROUP = ("direction", "stop_key")
 
+# A slice with more rows than this is split further, at the instants it holds.
+BUSY_ROWS = 2_000_000
+# No more slices than this can count as busy, however much data there is.
+MAX_BUSY_SLICES = 100_000
 
-def instant_headways(
+
+def headways_of(
     calls: DataFrame,
     group: Sequence[str] = GROUP,
     train: str = "mission",
     t: str = "t",
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: float = O.SLICE_SECONDS,
+    busy_rows: int = BUSY_ROWS,
 ) -> DataFrame:
-    """One row per (group, instant): its first train and the headway before it.
-
-    Trains that share an instant with another one follow it by 0 minutes; of
-    them only the smallest ``train`` is listed here.
-    """
-    timed = calls.where(F.col(t).isNotNull()).select(*group, train, times.micros(calls, t).alias("_us"))
-    instants = timed.groupBy(*group, "_us").agg(F.min(train).alias(train))
-    return with_previous(instants, group, "_us", slice_seconds=slice_seconds).select(
-        *group, train, "_us",
-        times.whole_minutes(F.col("_us"), F.col("prev__us")).alias("headway_min"),
-    )
-
+    """Add ``headway_min`` to calls that are unique by group, train and time.
 
-def _headways_of(calls: DataFrame, key: Sequence[str], group: Sequence[str], slice_seconds: int) -> DataFrame:
-    """Headway of every row of ``calls``, which must be unique on ``key``.
+    Calls are ordered by time and then by ``train``. A time slice of a group is
+    one window partition as long as it is of ordinary size. Only very many trains
+    at the same instants can make a slice too large; such slices are reduced to
+    one call per instant first, and the other calls there follow by 0 minutes.
 
-    The lookup joins on ``key``, the columns ``calls`` was just aggregated by,
-    so the rows themselves are not shuffled again.
+    A slice is busy above ``busy_rows`` and above its share of all rows, so the
+    list of busy slices never exceeds MAX_BUSY_SLICES and may be broadcast.
     """
-    firsts = (
-        instant_headways(calls, group, slice_seconds=slice_seconds)
-        .withColumn("t", times.from_micros("_us", times.is_wall_clock(calls, "t")))
-        .select(*key, "headway_min", F.lit(True).alias("_first"))
+    sliced = O.with_slice(calls.withColumn("_us", times.micros(calls, t)), group, "_us", slice_seconds)
+    notes = O.slice_notes(sliced, group, "_us")
+    share = notes.agg(F.sum("_n")).scalar() / F.lit(float(MAX_BUSY_SLICES))
+    slice_key = [*group, O.SLICE]
+    busy = F.broadcast(notes.where((F.col("_n") > busy_rows) & (F.col("_n") > share)).select(*slice_key))
+    minutes = times.whole_minutes(F.col("_us"), F.col("prev__us"))
+
+    calm = O.previous_in_slices(
+        sliced.join(busy, slice_key, "left_anti"), notes, group, "_us", ties=[train]
+    ).select(*calls.columns, minutes.alias("headway_min"))
+
+    crowd = sliced.join(busy, slice_key, "left_semi")
+    instants = crowd.groupBy(*slice_key, "_us").agg(F.min(train).alias(train))
+    leading = O.previous_in_slices(instants, notes, group, "_us").select(
+        *group, "_us", train, minutes.alias("_lead_min"), F.lit(True).alias("_leads")
     )
-    joined = calls.join(firsts, list(key), "left")
-    # the first train at an instant has the looked-up headway (NULL at the start
-    # of the group), every other train there follows it by 0 minutes
-    headway = F.when(F.col("_first"), F.col("headway_min")).otherwise(
-        F.when(F.col("t").isNotNull(), F.lit(0))
+    # the join key holds the train, so an instant with very many trains is spread
+    headway = F.when(F.col("_leads"), F.col("_lead_min")).otherwise(F.lit(0))
+    crowded = crowd.join(leading, [*group, "_us", train], "left").select(
+        *calls.columns, headway.alias("headway_min")
     )
-    return joined.withColumn("headway_min", headway).drop("_first")
+    return calm.unionByName(crowded)
+
+
+def _usable(passages: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Passages with a time, a train and a place. Stating it here, once, lets every
+    later use of the calls share one scan and one shuffle."""
+    for c in ("mission", *group, "t"):
+        passages = passages.where(F.col(c).isNotNull())
+    return passages
 
 
 def real_calls(passages: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
     """Latest known real time per mission and stop."""
-    return passages.where(F.col("t").isNotNull()).groupBy("mission", *group).agg(F.max("t").alias("t"))
+    return _usable(passages, group).groupBy("mission", *group).agg(F.max("t").alias("t"))
 
 
 def planned_calls(
@@ -72,7 +87,7 @@ def planned_calls(
     ``copies`` counts identical calls within the first snapshot.
     """
     key = ["mission", *group, "t"]
-    timed = passages.where(F.col("t").isNotNull())
+    timed = _usable(passages, group)
     sighting = [F.min(observed_at).alias(observed_at)]
     if with_copies:
         timed = timed.groupBy(*key, observed_at).agg(F.count("*").alias("copies"))
@@ -83,46 +98,31 @@ def planned_calls(
     return calls.join(first, [*per, observed_at], "left_semi").drop(observed_at)
 
 
-def real_headways(
-    passages: DataFrame, group: Sequence[str] = GROUP, slice_seconds: int = SLICE_SECONDS
-) -> DataFrame:
+def real_headways(passages: DataFrame, group: Sequence[str] = GROUP, **tuning) -> DataFrame:
     """mission, direction, stop_key, t, headway_min for the latest real times."""
     calls = real_calls(passages, group)
-    return _headways_of(calls, ["mission", *group], group, slice_seconds).select(
-        "mission", *group, "t", "headway_min"
-    )
+    return headways_of(calls, group, **tuning).select("mission", *group, "t", "headway_min")
 
 
 def planned_headways(
-    passages: DataFrame,
-    group: Sequence[str] = GROUP,
-    per: Sequence[str] = ("mission",),
-    slice_seconds: int = SLICE_SECONDS,
+    passages: DataFrame, group: Sequence[str] = GROUP, per: Sequence[str] = ("mission",), **tuning
 ) -> DataFrame:
     """mission, direction, stop_key, t, headway_min, copies for the first planned times.
 
     ``headway_min`` is that of the first copy; further copies follow by 0 minutes.
     """
     calls = planned_calls(passages, group, per, with_copies=True)
-    return _headways_of(calls, ["mission", *group, "t"], group, slice_seconds).select(
+    return headways_of(calls, group, **tuning).select(
         "mission", *group, "t", "headway_min", "copies"
     )
 
 
 def planned_intervals(
-    passages: DataFrame,
-    group: Sequence[str] = GROUP,
-    per: Sequence[str] = ("mission",),
-    slice_seconds: int = SLICE_SECONDS,
+    passages: DataFrame, group: Sequence[str] = GROUP, per: Sequence[str] = ("mission",), **tuning
 ) -> DataFrame:
-    """Planned headways a score can divide by: above 0 minutes.
-
-    Equal to filtering :func:`planned_headways`, but every row that follows
-    another by 0 minutes is left out before the lookup join instead of after.
-    """
+    """Planned headways a score can divide by, those above 0 minutes: mission,
+    direction, stop_key, headway_min. Copies cannot matter here and are not counted."""
     calls = planned_calls(passages, group, per)
-    return (
-        instant_headways(calls, group, slice_seconds=slice_seconds)
-        .where(F.col("headway_min") > 0)
-        .select("mission", *group, "headway_min")
-    )
+    return headways_of(calls, group, **tuning).where(
+        F.col("headway_min") > 0
+    ).select("mission", *group, "headway_min")

@@ -4,12 +4,11 @@ A stop and direction of a busy network can hold a large part of all rows, so
 ``lag`` over the whole group would sort that part in one task. The order is cut
 into fixed time slices instead:
 
-1. rows are reduced to one per (group, instant), combined before the shuffle;
-2. ``lag`` runs inside each (group, slice). A slice holds at most one row per
-   microsecond of its width, and for feeds with whole seconds one per second;
-3. only the first row of each non-empty slice lacks a predecessor. Those rows,
-   one per slice, are lagged per group over the slices' last rows. Their number
-   is bounded by the time span, not by the data: 525,600 a year at one minute.
+1. one small aggregate notes the last row of every (group, slice);
+2. ``lag`` runs inside each (group, slice);
+3. the first row of a slice takes the last row of the slice before it, from a
+   ``lag`` over the notes of step 1. Their number is bounded by the time span,
+   not by the data: 525,600 a year and group at one minute.
 
 Slices depend on the time value alone, so a recomputed task gives equal rows.
 """
@@ -21,6 +20,52 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 SLICE_SECONDS = 60
+SLICE = "_slice"
+
+
+def with_slice(df: DataFrame, group: Sequence[str], us: str, slice_seconds: float) -> DataFrame:
+    """Add the slice. The NULL checks state up front what the joins would otherwise
+    add branch by branch: with equal branches Spark computes the rows once."""
+    out = df.withColumn(SLICE, F.floor(F.col(us) / F.lit(float(slice_seconds) * 1e6)).cast("bigint"))
+    for c in (*group, SLICE):
+        out = out.where(F.col(c).isNotNull())
+    return out
+
+
+def slice_notes(sliced: DataFrame, group: Sequence[str], us: str, carry: Sequence[str] = ()) -> DataFrame:
+    """group, slice, _last, _n: last row and number of rows of every slice."""
+    # a bare BIGINT keeps the aggregate hash-based
+    last = F.max(F.struct(us, *carry)) if carry else F.max(us)
+    notes = sliced.groupBy(*group, SLICE).agg(last.alias("_last"), F.count("*").alias("_n"))
+    # always true; it makes every use need both values, so that Spark sees equal
+    # aggregates and computes them once
+    return notes.where(F.col("_last").isNotNull() & (F.col("_n") > 0))
+
+
+def previous_in_slices(
+    sliced: DataFrame,
+    notes: DataFrame,
+    group: Sequence[str],
+    us: str,
+    carry: Sequence[str] = (),
+    ties: Sequence[str] = (),
+) -> DataFrame:
+    """Add ``prev_<us>`` and ``prev_<carry>``; rows of equal ``us`` are ordered by ``ties``.
+
+    The lookup of the slice before joins on the window's own keys, so the rows
+    are shuffled and sorted once for both.
+    """
+    value = F.struct(us, *carry) if carry else F.col(us)
+    key = [*group, SLICE]
+    before = notes.select(
+        *key, F.lag("_last").over(Window.partitionBy(*group).orderBy(SLICE)).alias("_before")
+    ).where(F.col("_before").isNotNull())
+    inside = sliced.withColumn("_in", F.lag(value).over(Window.partitionBy(*key).orderBy(us, *ties)))
+    prev = F.coalesce("_in", "_before")
+    found = {us: prev} if not carry else {c: prev[c] for c in (us, *carry)}
+    return inside.join(before, key, "left").select(
+        *sliced.columns, *[p.alias(f"prev_{c}") for c, p in found.items()]
+    )
 
 
 def with_previous(
@@ -28,26 +73,15 @@ def with_previous(
     group: Sequence[str],
     us: str,
     carry: Sequence[str] = (),
-    slice_seconds: int = SLICE_SECONDS,
+    slice_seconds: float = SLICE_SECONDS,
 ) -> DataFrame:
     """Add ``prev_<col>`` for ``us`` and each ``carry`` column.
 
     ``instants`` must hold one row per (group, us), ``us`` being a BIGINT in
-    microseconds that is not NULL. The first row of a group gets NULLs.
+    microseconds; neither may be NULL. A slice then has at most one row per
+    microsecond of its width, and for feeds with whole seconds one per second.
+    The first row of a group gets NULLs.
     """
-    taken = [us, *carry]
-    fields = F.struct(*taken)
-    slice_key = [*group, "_slice"]
-    in_order = Window.partitionBy(*slice_key).orderBy(us)
-    # the value at the end of the slice, seen from every row of it
-    to_end = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-    sliced = instants.withColumn(
-        "_slice", F.floor(F.col(us) / F.lit(float(slice_seconds) * 1e6)).cast("bigint")
-    ).withColumns({"_prev": F.lag(fields).over(in_order), "_last": F.last(fields).over(to_end)})
-    inner = sliced.where(F.col("_prev").isNotNull())
-    across = Window.partitionBy(*group).orderBy("_slice")
-    heads = sliced.where(F.col("_prev").isNull()).withColumn("_prev", F.lag("_last").over(across))
-    return inner.unionByName(heads).select(
-        *instants.columns, *[F.col("_prev")[c].alias(f"prev_{c}") for c in taken]
-    )
+    sliced = with_slice(instants, group, us, slice_seconds)
+    notes = slice_notes(sliced, group, us, carry)
+    return previous_in_slices(sliced, notes, group, us, carry).drop(SLICE)

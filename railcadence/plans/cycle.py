@@ -86,6 +86,8 @@ def run_cycle(
 ) -> None:
     """Reference, scores, gaps and drift of one service day as of one moment."""
     day = T.read_day(spark, tables.passages, service_date)
+    if day is None:
+        return
     planned, real = day.where(F.col("kind") == "planned"), day.where(F.col("kind") == "real")
     ref = update_reference(spark, tables, day, cycle)
 
@@ -108,6 +110,8 @@ def run_cycle(
     append(gaps.gap_history_rows(missions, as_of), tables.gap_history)
 
     history = T.read_day(spark, tables.gap_history, service_date)
+    if history is None:
+        return
     now = history.where(F.col("cycle").cast("string") == str(cycle))
     append(
         gaps.gap_stats(now, as_of, cap), tables.gap_stats,

@@ -68,8 +68,10 @@ def read_history(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.option("mergeSchema", "false").parquet(path)
 
 
-def read_day(spark: SparkSession, path: str, service_date: str) -> DataFrame:
-    """One service day of a table partitioned by it; other days are not even listed."""
+def read_day(spark: SparkSession, path: str, service_date: str) -> DataFrame | None:
+    """One service day of a table partitioned by it, or None; other days are not even listed."""
+    if not exists(spark, f"{path}/service_date={service_date}"):
+        return None
     return spark.read.option("basePath", path).parquet(f"{path}/service_date={service_date}")
 
 

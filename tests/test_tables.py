@@ -163,6 +163,22 @@ def test_cycles_and_stream_give_the_same_histories(spark, stops, tmp_path, root,
     assert T.read_history(spark, by_hand.scores).count() > 0
 
 
+def test_a_cycle_without_trains_writes_nothing(spark, stops, root):
+    tables = C.Tables(root)
+    nothing = feed.parse_siri(spark.createDataFrame([(payload(),)], "payload string"), stops, observed_at="2026-04-15 08:00:00")
+    C.load_passages(nothing, tables, "2026-04-15 08:00:00", 0)
+    C.run_cycle(spark, tables, "2026-04-15", "2026-04-15 08:00:00", 0, KEY)
+    # a train that has not left yet is in the reference but not under way
+    waiting = feed.parse_siri(spark.createDataFrame([(payload(journey("KALI72", "x", [
+        {"StopPointRef": {"value": "a:100:"}, "AimedDepartureTime": "2026-04-15T09:00:00Z"}])),)], "payload string"),
+        stops, observed_at="2026-04-15 08:05:00")
+    C.load_passages(waiting, tables, "2026-04-15 08:05:00", 1)
+    C.run_cycle(spark, tables, "2026-04-15", "2026-04-15 08:05:00", 1, KEY)
+    # its real side has no call at all, so only that row counts as fewer stops
+    assert T.read_current(spark, tables.reference).count() == 1
+    assert T.read_history(spark, tables.drift_stats) is None
+
+
 def test_streamed_state_over_several_batches_equals_batch(spark, root, tmp_path, rows):
     folder = str(tmp_path / "calls")
     schema = "mission string, direction string, stop_key string, t timestamp, observed_at timestamp"
