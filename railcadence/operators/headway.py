@@ -62,9 +62,7 @@ def headways_of(
 def _usable(passages: DataFrame, group: Sequence[str]) -> DataFrame:
     """Passages with a time, a train and a place. Stating it here, once, lets every
     later use of the calls share one scan and one shuffle."""
-    for c in ("mission", *group, "t"):
-        passages = passages.where(F.col(c).isNotNull())
-    return passages
+    return passages.where(O.all_known("mission", *group, "t"))
 
 
 def real_calls(passages: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:

@@ -16,8 +16,10 @@ Slices depend on the time value alone, so a recomputed task gives equal rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLICE_SECONDS = 60
 SLICE = "_slice"
@@ -26,10 +28,13 @@ SLICE = "_slice"
 def with_slice(df: DataFrame, group: Sequence[str], us: str, slice_seconds: float) -> DataFrame:
     """Add the slice. The NULL checks state up front what the joins would otherwise
     add branch by branch: with equal branches Spark computes the rows once."""
-    out = df.withColumn(SLICE, F.floor(F.col(us) / F.lit(float(slice_seconds) * 1e6)).cast("bigint"))
-    for c in (*group, SLICE):
-        out = out.where(F.col(c).isNotNull())
-    return out
+    number = F.floor(F.col(us) / F.lit(float(slice_seconds) * 1e6)).cast("bigint")
+    return df.withColumn(SLICE, number).where(all_known(*group, SLICE))
+
+
+def all_known(*names: str) -> Column:
+    """None of the columns is NULL, as plain conditions Spark can push down."""
+    return reduce(and_, [F.col(c).isNotNull() for c in names])
 
 
 def slice_notes(sliced: DataFrame, group: Sequence[str], us: str, carry: Sequence[str] = ()) -> DataFrame:

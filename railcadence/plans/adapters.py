@@ -75,6 +75,31 @@ def with_stop_counts(passages: DataFrame, trips: DataFrame) -> DataFrame:
     )
 
 
+def full_passages(events: DataFrame, service_date: str) -> DataFrame:
+    """Events as a complete passages table, all on one service day.
+
+    The stop order is the alphabet; a mission is one day of a user.
+    """
+    p = event_passages(events, "day")
+    seq = F.array_position(F.array(*[F.lit(s) for s in EVENT_STOPS]), F.col("stop_key")).cast("int") - 1
+    both = planned_of(p).withColumn("kind", F.lit("planned")).unionByName(
+        real_of(p).withColumn("kind", F.lit("real"))
+    )
+    trips = event_trips(planned_of(p)).drop("mission_type", "direction")
+    ends = both.groupBy("mission", "kind").agg(F.max("t").alias("ends_at"), F.min(F.struct("t", "stop_key")).alias("_first"))
+    first = F.struct("t", "stop_key") == F.col("_first")
+    return (
+        both.join(trips, ["mission", "observed_at"])
+        .join(ends, ["mission", "kind"])
+        .withColumns({
+            "stop_seq": seq,
+            "call_pos": F.when(first, 0).otherwise(1),
+            "service_date": F.lit(service_date).cast("date"),
+        })
+        .drop("_first")
+    )
+
+
 def siri_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One feed payload per line of an order, as JSON text.
 

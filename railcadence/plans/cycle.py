@@ -10,12 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from railcadence import schema as S
-from railcadence.operators import clean, drift, gaps, headway, reference, regularity, trips
+from railcadence.operators import clean, drift, gaps, headway, load, reference, regularity, trips
 from railcadence.sinks import tables as T
+from railcadence.sources import snapshots
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,10 @@ class Tables:
     def passages(self) -> str:
         return self.path("passages")
 
+    @property
+    def ledger(self) -> str:
+        return self.path("fichiers_charges")
+
     @property
     def reference(self) -> str:
         return self.path("missions_ref")
@@ -61,6 +67,49 @@ def load_passages(
     )
 
 
+def load_new_snapshots(
+    spark: SparkSession,
+    landing: str,
+    tables: Tables,
+    as_of: dt.datetime | str,
+    cycle: int,
+    newest_only: bool = True,
+) -> DataFrame:
+    """Load landed snapshot files that the ledger does not list and list them there.
+
+    With ``newest_only`` the newest file of each kind is taken, else all new ones.
+    Returns the rejected lines. The ledger is written last: after a failure the
+    same cycle loads the same files again and replaces what it had written.
+    """
+    files = snapshots.list_files(spark, landing)
+    ledger = T.read_history(spark, tables.ledger)
+    if ledger is not None:  # rows of a failed attempt at this cycle do not count
+        ledger = ledger.where(F.col("cycle") < cycle)
+    loaded, rejects = [], []
+    for kind, prefix in S.SNAPSHOT_PREFIX.items():
+        named = files.where(F.col("file_name").rlike(snapshots.snapshot_pattern(prefix)))
+        wanted = load.files_to_load(snapshots.latest_snapshot(named, prefix) if newest_only else named, ledger)
+        if newest_only:
+            newest = wanted.select("path").first()  # at most one row
+            if newest is None:
+                continue
+            lines = snapshots.read_lines(spark, newest["path"])
+        else:
+            lines = snapshots.read_lines(spark, landing).join(
+                wanted.select("file_name").distinct(), "file_name", "left_semi"
+            )
+        rows, bad = snapshots.snapshot_rows(lines)
+        loaded.append((snapshots.snapshot_passages(rows, kind), wanted))
+        rejects.append(bad)
+    if not loaded:
+        return spark.createDataFrame([], "file_name string, line string")
+    passages = reduce(DataFrame.unionByName, [p for p, _ in loaded])
+    load_passages(passages, tables, as_of, cycle)
+    taken = reduce(DataFrame.unionByName, [w.select("file_name") for _, w in loaded])
+    T.append_history(load.ledger_rows(taken, as_of), tables.ledger, cycle)
+    return reduce(DataFrame.unionByName, rejects)
+
+
 def update_reference(spark: SparkSession, tables: Tables, passages: DataFrame, cycle: int) -> DataFrame:
     """First cycle: build from all planned trips. Later: add what the newest snapshot has."""
     planned_trips = trips.trips_of(passages.where(F.col("kind") == "planned"))

@@ -373,6 +373,26 @@ FROM wide
 UNION ALL SELECT 'direction', count(*), count(*) FILTER (WHERE direction NOT IN ('Nord', 'Sud')) FROM daily
 UNION ALL SELECT 'max_below_mean', count(*), count(*) FILTER (WHERE max_gap < mean_gap) FROM daily""",
         "history_roundtrip": f"{_DAILY} SELECT * FROM served",
+        "update_cycle": f"""
+WITH {_p('day')}, {_REAL_CALLS}, {_PLANNED_CALLS}, {_PAIRS},
+scores AS (SELECT direction, stop_key, {_SCORE} FROM pairs WHERE {_DUE} GROUP BY direction, stop_key),
+wide AS (SELECT direction, {_WIDE} FROM scores GROUP BY direction),
+trips AS (SELECT mission, mission_type, direction, observed_at, count(DISTINCT stop_key) AS n_served
+          FROM p GROUP BY ALL),
+ref AS (SELECT mission_type, max(n_served) AS n_stops FROM trips GROUP BY ALL),
+newest AS (
+  SELECT p.*, CAST(round((epoch_us(max(real_t) OVER w) - epoch_us(max(planned_t) OVER w)) / 6e7) AS INTEGER) AS gap
+  FROM p JOIN trips USING (mission, observed_at) JOIN ref ON ref.mission_type = p.mission_type
+  WHERE observed_at = (SELECT max(observed_at) FROM p) AND n_served < n_stops
+  WINDOW w AS (PARTITION BY p.mission, p.stop_key)),
+mission_gaps AS (SELECT mission, direction, max(gap) AS max_gap_min FROM newest GROUP BY ALL),
+stats AS (
+  SELECT direction, round(avg(greatest(0, max_gap_min)), 9) AS ecart_moyen,
+         CAST(quantile_cont(greatest(0, max_gap_min), 0.5) AS DOUBLE) AS ecart_median,
+         max(greatest(0, max_gap_min)) AS ecart_max
+  FROM mission_gaps WHERE max_gap_min < 30 GROUP BY direction)
+-- a first cycle has no change yet
+SELECT *, 0.0::DOUBLE AS moyenne_allongement FROM wide JOIN stats USING (direction)""",
         "mon_p95": _quantile_sql(),
         "mon_rate": f"""WITH w AS ({_panes('event_type,', 'count(*) AS n')})
 SELECT window_start, event_type, n / 300.0::DOUBLE AS per_second FROM w""",

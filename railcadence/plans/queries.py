@@ -15,7 +15,7 @@ from railcadence.functions import text, times
 from railcadence.operators import (
     clean, drift, gaps, headway, latest, load, monitor, quality, reference, regularity, reshape, serve, trips,
 )
-from railcadence.plans import adapters as A
+from railcadence.plans import adapters as A, cycle
 from railcadence.session import work_dir
 from railcadence.sinks import tables as sink
 from railcadence.sources import feed, snapshots
@@ -26,6 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-01-01 00:00:00"
 HORIZON_MIN = 30 * 1440
 FINISHED_BEFORE = "1998-09-02 00:00:00"
+DAY = "2024-01-01"
 EXPORT_STAMP = dt.datetime(2024, 1, 31)
 STOPS = {s: s for s in A.EVENT_STOPS}
 
@@ -427,6 +428,22 @@ def history_roundtrip(spark, d):
     )
 
 
+def update_cycle(spark, d):
+    """One whole cycle on the events: load, reference, scores, gaps, drift; read back from its tables."""
+    tables = cycle.Tables(work_dir(spark, "cycle"))
+    cycle.load_passages(A.full_passages(A.table(spark, d, "events"), DAY), tables, AS_OF, 0)
+    cycle.run_cycle(spark, tables, DAY, F.lit(AS_OF).cast("timestamp_ntz"), 0, STOPS, HORIZON_MIN)
+    scores = sink.read_day(spark, tables.scores, DAY)
+    stats = sink.read_day(spark, tables.gap_stats, DAY)
+    drifts = sink.read_day(spark, tables.drift_stats, DAY)
+    return (
+        scores.select("direction", *[f"score_{s}" for s in A.EVENT_STOPS])
+        .join(stats.select("direction", "ecart_moyen", "ecart_median", "ecart_max"), "direction")
+        .join(drifts.select("direction", "moyenne_allongement"), "direction")
+        .withColumn("ecart_moyen", F.round("ecart_moyen", 9))
+    )
+
+
 # ---------------------------------------------------------------------- monitoring
 def _events(spark, d):
     return A.table(spark, d, "events").select("ts", "event_id", "user_id", "event_type", "value")
@@ -509,7 +526,7 @@ def all_queries() -> dict[str, Query]:
         latest_rows_per_user, trip_summary, calls_pivot_wide, calls_unpivot,
         siri_parse, json_props, csv_rows, csv_rejects, csv_roundtrip, normalize_key, try_parse_times,
         latest_two, latest_per_direction, last_update, kpi_cards, gap_cards, drift_cards,
-        quality_checks, history_roundtrip,
+        quality_checks, history_roundtrip, update_cycle,
         mon_p95, mon_rate, mon_error_pct, mon_counter_rate, mon_gauge,
         stream_tumbling, stream_first_planned, stream_last_real, stream_foreach_scores,
     ]

@@ -26,11 +26,16 @@ def snapshot_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+?)(?:/part-[^/]*)?$", 1)
 
 
+def snapshot_path(path: Column) -> Column:
+    """Path of the whole snapshot a file belongs to."""
+    return F.regexp_replace(path, r"/part-[^/]*$", "")
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """file_name, path, modified of a landing folder; contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
         snapshot_name(F.col("path")).alias("file_name"),
-        "path",
+        snapshot_path(F.col("path")).alias("path"),
         F.col("modificationTime").alias("modified"),
     )
 

@@ -77,10 +77,11 @@ def test_written_snapshots_read_back(spark, tmp_path, rows):
     calls = calls.withColumns({"t": F.col("t").cast("timestamp"), "observed_at": F.lit("2026-04-17 07:00:00").cast("timestamp")})
     frame = N.snapshot_frame(calls, [("saint_remy", "Saint-Rémy"), ("antony", "Antony"), ("laplace", "Laplace")])
     assert frame.columns[3:6] == ["Saint-Rémy", "Antony", "Laplace"]
-    path = write_snapshot(frame, str(tmp_path), "horaires_theoriques", dt.datetime(2026, 4, 17, 7, 0, 0))
+    path = write_snapshot(frame.repartition(2, "mission"), str(tmp_path), "horaires_theoriques", dt.datetime(2026, 4, 17, 7, 0, 0))
     assert path.endswith("/horaires_theoriques_20260417_070000.csv")
-    [newest] = N.latest_snapshot(N.list_files(spark, str(tmp_path)).where(F.col("path").contains("/part-")), "horaires_theoriques").collect()
-    assert newest["file_name"] == "horaires_theoriques_20260417_070000.csv"
+    # a snapshot written in parts is still one snapshot
+    [newest] = N.latest_snapshot(N.list_files(spark, str(tmp_path)), "horaires_theoriques").collect()
+    assert newest["file_name"] == "horaires_theoriques_20260417_070000.csv" and newest["path"].endswith(path)
     back, rejects = N.read_snapshot_csv(spark, path)
     assert rejects.count() == 0
     got = N.snapshot_passages(back, "planned")

@@ -179,6 +179,35 @@ def test_a_cycle_without_trains_writes_nothing(spark, stops, root):
     assert T.read_history(spark, tables.drift_stats) is None
 
 
+def test_snapshot_files_load_once(spark, tmp_path, root):
+    tables, head = C.Tables(root), "mission,type_mission,destination,Antony,gare_depart,nb_arrets_desservis,date_observation\n"
+    row = "{m},KALI,x,2026-04-15 09:00:00+02:00,Antony,1,2026-04-15 08:00:00+02:00\n"
+    landing = tmp_path / "in"
+    landing.mkdir()
+
+    def put(name, mtime, *missions, extra=""):
+        (landing / name).write_text(head + "".join(row.format(m=m) for m in missions) + extra)
+        os.utime(landing / name, (1776000000 + mtime,) * 2)
+
+    def loaded():
+        return sorted((r["mission"], r["kind"]) for r in T.read_history(spark, tables.passages).collect())
+
+    as_of = "2026-04-15 08:01:00"
+    put("horaires_theoriques_20260415_080000.csv", 1, "OLD001")
+    put("horaires_theoriques_20260415_080500.csv", 2, "KALI72", "RATPKALI72", extra="a,b,c,d,e,f,g,h\n")
+    put("horaires_reels_20260415_080500.csv", 2, "KALI72")
+    rejects = C.load_new_snapshots(spark, str(landing), tables, as_of, 0)
+    assert [r["line"] for r in rejects.collect()] == ["a,b,c,d,e,f,g,h"]
+    assert loaded() == [("KALI72", "planned"), ("KALI72", "real")]
+    for _ in range(2):  # again, and once more after a failure: nothing new
+        assert C.load_new_snapshots(spark, str(landing), tables, as_of, 1).count() == 0
+    assert len(loaded()) == 2
+    put("horaires_reels_20260415_081000.csv", 3, "NEW002")
+    C.load_new_snapshots(spark, str(landing), tables, as_of, 2, newest_only=False)
+    assert loaded() == [("KALI72", "planned"), ("KALI72", "real"), ("NEW002", "real"), ("OLD001", "planned")]
+    assert T.read_history(spark, tables.ledger).count() == 4
+
+
 def test_streamed_state_over_several_batches_equals_batch(spark, root, tmp_path, rows):
     folder = str(tmp_path / "calls")
     schema = "mission string, direction string, stop_key string, t timestamp, observed_at timestamp"
