@@ -24,6 +24,7 @@ def headways_of(
     t: str = "t",
     slice_seconds: float = O.SLICE_SECONDS,
     busy_rows: int = BUSY_ROWS,
+    leading_only: bool = False,
 ) -> DataFrame:
     """Add ``headway_min`` to calls that are unique by group, train and time.
 
@@ -34,6 +35,9 @@ def headways_of(
 
     A slice is busy above ``busy_rows`` and above its share of all rows, so the
     list of busy slices never exceeds MAX_BUSY_SLICES and may be broadcast.
+
+    With ``leading_only`` calls that follow another one by 0 minutes at the same
+    instant may be left out, and only group, train and headway are returned.
     """
     sliced = O.with_slice(calls.withColumn("_us", times.micros(calls, t)), group, "_us", slice_seconds)
     notes = O.slice_notes(sliced, group, "_us")
@@ -42,20 +46,21 @@ def headways_of(
     busy = F.broadcast(notes.where((F.col("_n") > busy_rows) & (F.col("_n") > share)).select(*slice_key))
     minutes = times.whole_minutes(F.col("_us"), F.col("prev__us"))
 
+    kept = [*group, train] if leading_only else calls.columns
+
     calm = O.previous_in_slices(
         sliced.join(busy, slice_key, "left_anti"), notes, group, "_us", ties=[train]
-    ).select(*calls.columns, minutes.alias("headway_min"))
+    ).select(*kept, minutes.alias("headway_min"))
 
     crowd = sliced.join(busy, slice_key, "left_semi")
     instants = crowd.groupBy(*slice_key, "_us").agg(F.min(train).alias(train))
-    leading = O.previous_in_slices(instants, notes, group, "_us").select(
-        *group, "_us", train, minutes.alias("_lead_min"), F.lit(True).alias("_leads")
-    )
+    leading = O.previous_in_slices(instants, notes, group, "_us")
+    if leading_only:
+        return calm.unionByName(leading.select(*kept, minutes.alias("headway_min")))
     # the join key holds the train, so an instant with very many trains is spread
+    leading = leading.select(*group, "_us", train, minutes.alias("_lead_min"), F.lit(True).alias("_leads"))
     headway = F.when(F.col("_leads"), F.col("_lead_min")).otherwise(F.lit(0))
-    crowded = crowd.join(leading, [*group, "_us", train], "left").select(
-        *calls.columns, headway.alias("headway_min")
-    )
+    crowded = crowd.join(leading, [*group, "_us", train], "left").select(*kept, headway.alias("headway_min"))
     return calm.unionByName(crowded)
 
 
@@ -121,6 +126,6 @@ def planned_intervals(
     """Planned headways a score can divide by, those above 0 minutes: mission,
     direction, stop_key, headway_min. Copies cannot matter here and are not counted."""
     calls = planned_calls(passages, group, per)
-    return headways_of(calls, group, **tuning).where(
-        F.col("headway_min") > 0
-    ).select("mission", *group, "headway_min")
+    return headways_of(calls, group, leading_only=True, **tuning).where(F.col("headway_min") > 0).select(
+        "mission", *group, "headway_min"
+    )

@@ -68,6 +68,9 @@ def test_busy_slices_give_the_same_headways(spark, monkeypatch, busy_rows):
     planned = planned_frame(spark, [(*c, at(-60)) for c in twice])
     got = headway.planned_headways(planned, slice_seconds=30, busy_rows=busy_rows).drop("copies")
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(twice)
+    positive = headway.planned_intervals(planned, slice_seconds=30, busy_rows=busy_rows)
+    assert sorted((tuple(r) for r in positive.collect()), key=str) == sorted(
+        ((m, d, s, h) for m, d, s, _, h in brute(twice) if h), key=str)
 
 
 def test_order_of_rows_and_partitions_does_not_matter(spark):
