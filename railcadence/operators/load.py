@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from railcadence.functions import times
 from railcadence.operators.clean import not_in_ledger

@@ -56,10 +56,6 @@ def paris(text):
     return dt.datetime.fromisoformat(text).astimezone(dt.timezone.utc)
 
 
-def utc(rows, col="t"):
-    return [r[col] for r in rows]
-
-
 def test_two_missions(spark, stops):
     out = parse(spark, stops, BASIC)
     assert out.dtypes == [(f.name, f.dataType.simpleString()) for f in S.PASSAGES.fields]
