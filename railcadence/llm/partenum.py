@@ -9,12 +9,14 @@ non-empty partitions: of the partitions before the first one that both sets agre
 is spoiled by a difference. Sets with fewer non-empty partitions, and the small bands,
 use single shingles as partitions. So no pair above the threshold is lost.
 
-Sets that share a signature are compared with the smallest of them, not with each other.
-The Jaccard distance is a metric: a set within 1/4 of that leader can't be similar to one
-more than 1/2 away, and sets linked with one leader are one component already. What is
-left are buckets of sets from several components: they are compared in full when few, and
-get a new leader when many. A set with few signatures in such crowded buckets leaves them,
-since each set emits some spare signatures and keeps enough others.
+Each set emits some signatures more than it needs. So two similar sets share several, and
+a pair is compared only if it shares as many as it must. And a set with few signatures in
+crowded buckets can leave these without losing a partner; those who stay are mostly large
+groups of near copies. In crowded buckets sets are compared with the smallest of them, not
+with each other. The Jaccard distance is a metric: a set within 1/4 of that leader can't be
+similar to one more than 1/2 away, and sets linked with one leader are one component
+already. Of the buckets that still hold several components, the sets are compared in blocks
+of bounded size, each pair of blocks by one matrix product.
 
 Equal sets are one node (128-bit digest, checked for collisions). Shingles are compared by
 64-bit hashes. Only signature rows, candidate pairs and the texts in them are moved.
@@ -29,6 +31,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
@@ -45,8 +48,10 @@ NEAR, WHOLE = 75, 100
 FINE = 8
 #: Partitions per unit of the bound of a band.
 PARTITIONS = 1.3
-#: Buckets of more sets than this get leaders instead of full comparison.
-CROWD = 48
+#: Buckets of more sets than this are crowded.
+CROWD = 8
+#: Sets per block and shingles per step where what is left is compared block by block.
+BLOCK, COLUMNS = 256, 4096
 #: Digests a task remembers, so that it sends the signatures of equal sets once.
 SEEN = 200_000
 
@@ -102,34 +107,46 @@ def bands(size: int) -> list[tuple[int, int]]:
 
 
 def spare(bound: int) -> int:
-    return 3 + bound // 16
+    """Signatures beyond those needed; sets of the small bands emit all they have."""
+    return 3 + bound // 8 if bound > FINE else 4 * FINE
+
+
+#: Size, band and signatures to spare of a row, in one number.
+SLACK_BITS, BAND_BITS = 12, 6
+
+
+def _info(size: int, band: int, slack: int) -> int:
+    return ((size << BAND_BITS) + band << SLACK_BITS) + min(slack, (1 << SLACK_BITS) - 2) + 1
 
 
 def signatures(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a set and, for each, how many its scheme has to spare."""
-    out, slack = [], []
+    """Signatures of a set and, for each, its size, band and what its scheme has to spare."""
+    out, infos = [], []
+
+    def emit(sigs: np.ndarray, band: int, slack: int) -> None:
+        out.append(mix(sigs))
+        infos.append(np.full(len(sigs), _info(len(s), band, slack), dtype=np.int64))
+
     for band, k in bands(len(s)):
         bound = 1 << band
         want = k + 1 + spare(bound)
-        fine, have = bound <= FINE, 0
-        if not fine:
-            n_parts = int(PARTITIONS * bound) + 1
-            part = ((s >> U64(32)) * U64(n_parts)) >> U64(32)
-            starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            have, starts = len(starts), starts[: want + 1]
-            upto = starts[want] if len(starts) > want else len(s)
-            starts = starts[:want]
-            content = np.add.reduceat(mix(s[:upto] ^ U64(0x3C6EF372FE94F82B)), starts)
-            out.append(mix(content + part[starts] * _STEP + U64(band << 1)))
-            fine = have <= k
-            slack.append(np.full(len(starts), -1 if fine else len(starts) - k - 1))
-        if fine:
-            first = s[: want if not have else k + 1]
-            out.append(mix(first + U64((band << 1) + 1)))
-            slack.append(np.full(len(first), len(first) - k - 1))
+        if bound <= FINE:
+            first = s[:want]
+            emit(first + U64((band << 1) + 1), band, len(first) - k - 1)
+            continue
+        n_parts = int(PARTITIONS * bound) + 1
+        part = ((s >> U64(32)) * U64(n_parts)) >> U64(32)
+        starts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+        upto = starts[want] if len(starts) > want else len(s)
+        starts = starts[:want]
+        content = np.add.reduceat(mix(s[:upto] ^ U64(0x3C6EF372FE94F82B)), starts)
+        short = len(starts) <= k
+        emit(content + part[starts] * _STEP + U64(band << 1), band, -1 if short else len(starts) - k - 1)
+        if short:
+            emit(s[: k + 1] + U64((band << 1) + 1), band, -1)
     if not out:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(out), np.concatenate(slack)
+    return np.concatenate(out), np.concatenate(infos)
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,25 +164,25 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         for _, group in wordhash.buffers(batch.column("text").to_pylist()):
             sets = shingle_sets(group)
-            found, nodes, slacks = [], [], []
+            found, nodes, infos = [], [], []
             for s, node in zip(sets, digests(sets)[1].tolist(), strict=True):
                 if node in seen:
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(node)
-                sig, slack = signatures(s)
+                sig, info = signatures(s)
                 found.append(sig)
-                slacks.append(slack)
+                infos.append(info)
                 nodes.append(np.full(len(sig), node))
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(found).view(np.int64)),
                         pa.array(np.concatenate(nodes).astype(np.int64)),
-                        pa.array(np.concatenate(slacks).astype(np.int32)),
+                        pa.array(np.concatenate(infos)),
                     ],
-                    names=["sig", "node", "slack"],
+                    names=["sig", "node", "info"],
                 )
 
 
@@ -240,51 +257,120 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.raise_error(F.lit("two shingle sets have one digest"))).alias("first"))
 
     by_sig = Window.partitionBy("sig")
+    shared = (
+        documents.mapInArrow(_signature_rows, "sig long, node long, info long")
+        .withColumns({"low": F.min("node").over(by_sig), "high": F.max("node").over(by_sig)})
+        .where("low <> high").select("sig", "node", "info").dropDuplicates(["sig", "node"])
+    )
+    rows = staged(shared.select("*", (F.count("*").over(by_sig) > crowd).alias("crowded")), "buckets").select(
+        "sig", "node", "crowded", F.shiftright("info", SLACK_BITS + BAND_BITS).alias("n"),
+        F.shiftright("info", SLACK_BITS).bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band"),
+        (F.col("info").bitwiseAND(F.lit((1 << SLACK_BITS) - 1)) - 1).alias("slack"),
+    )
+    held = staged(
+        rows.groupBy("node", "band").agg(
+            F.min("slack").alias("slack"), F.count_if("crowded").alias("n_crowded"), F.first("n").alias("n")
+        ), "held",
+    )
+    pairs = staged(_candidates(rows.where("not crowded"), held), "pairs")
+    stay = held.where("n_crowded > slack").select("node", "band")
     rows = staged(
-        documents.mapInArrow(_signature_rows, "sig long, node long, slack int")
-        .withColumns({"lead": F.min("node").over(by_sig), "last": F.max("node").over(by_sig)})
-        .where("lead <> last").drop("last").dropDuplicates(["sig", "node"]),
-        "buckets",
+        rows.where("crowded").join(stay, ["node", "band"]).select("sig", "node")
+        .withColumn("lead", F.min("node").over(by_sig)), "buckets",
     )
-    involved = rows.select("node").distinct()
+    involved = pairs.select(F.col("lead").alias("node")).union(pairs.select("node")).union(rows.select("node")).distinct()
     texts = _texts(documents, nodes, involved)
-    done = _verified(rows.where("node <> lead").select("lead", "node").distinct(), texts)
-    labels = components(done.where("near").select(F.col("lead").alias("a"), F.col("node").alias("b")))
-    while True:
-        rows = staged(_unsettled(rows, done, labels, crowd), "buckets")
-        few = rows.where("not crowded").select("sig", "node", "label")
-        other = few.select("sig", F.col("node").alias("lead"), F.col("label").alias("lead_label"))
-        pairs = few.join(other, "sig").where("lead < node and label <> lead_label").select("lead", "node")
-        rows = rows.where("crowded").drop("label", "crowded").withColumn("lead", F.min("node").over(by_sig))
-        pairs = staged(
-            pairs.union(rows.where("node <> lead").select("lead", "node")).distinct()
-            .join(done.select("lead", "node"), ["lead", "node"], "left_anti"), "pairs",
-        )
-        if pairs.isEmpty() and rows.isEmpty():
-            break
-        done = staged(done.union(_verified(pairs, texts)).distinct(), "verified")
-        labels = components(done.where("near").select(F.col("lead").alias("a"), F.col("node").alias("b")))
-    return _labelled(sets, labels)
+    pairs = staged(pairs.union(rows.where("node <> lead").select("lead", "node")).distinct(), "pairs")
+    done = _verified(pairs, texts)
+    labels = _components(done.where("near"))
+    rest = staged(_unsettled(rows, done, labels), "rest")
+    edges = done.where("near").select("lead", "node").union(_block_links(rest, texts))
+    return _labelled(sets, _components(staged(edges, "links")))
+
+
+def _components(edges: DataFrame) -> DataFrame:
+    return components(edges.select(F.col("lead").alias("a"), F.col("node").alias("b")))
+
+
+def _candidates(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs that share as many signatures of a band as similar sets must. Those in crowded
+    buckets aren't seen here and count as shared."""
+    left = rows.select("sig", "band", F.col("node").alias("lead"), F.col("n").alias("lead_n"))
+    met = rows.select("sig", "band", "node", "n").join(left, ["sig", "band"]).where(
+        "lead < node and 4 * least(n, lead_n) >= 3 * greatest(n, lead_n)"
+    ).groupBy("lead", "node", "band").agg(F.count("*").alias("met"))
+    a = held.select("band", F.col("node").alias("lead"), F.col("slack").alias("s0"), F.col("n_crowded").alias("c0"))
+    b = held.select("band", "node", F.col("slack").alias("s1"), F.col("n_crowded").alias("c1"))
+    return met.join(b, ["band", "node"]).join(a, ["band", "lead"]).where(
+        "met >= least(s0, s1) + 1 - least(c0, c1)"
+    ).select("lead", "node").distinct()
 
 
-def _unsettled(rows: DataFrame, done: DataFrame, labels: DataFrame, crowd: int) -> DataFrame:
+def _unsettled(rows: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame:
     """Buckets without their leader and, where nothing was in between, without the sets near
-    it; only those that still hold several components. Sets with enough signatures elsewhere
-    leave crowded buckets."""
+    it; only those that still hold several components."""
     by_sig = Window.partitionBy("sig")
     left = rows.where("node <> lead").join(done, ["lead", "node"], "left").join(labels, "node", "left").select(
-        "sig", "node", "slack", "near", "mid", F.coalesce("label", "node").alias("label")
+        "sig", "node", "near", "mid", F.coalesce("label", "node").alias("label")
     )
     between = F.max(F.col("mid") & ~F.col("near")).over(by_sig)
     left = left.withColumn("between", between).where("between or not near")
     left = left.withColumns({
-        "low": F.min("label").over(by_sig), "high": F.max("label").over(by_sig), "n": F.count("*").over(by_sig),
-    }).where("low <> high").select("sig", "node", "slack", "label", (F.col("n") > crowd).alias("crowded"))
-    held = left.where("crowded").groupBy("node").agg(F.count("*").alias("n_crowded"), F.min("slack").alias("least"))
-    stays = held.where("n_crowded > least").select("node", F.lit(True).alias("stays"))
-    return left.join(stays, "node", "left").where("not crowded or stays").select(
-        "sig", "node", "slack", "label", "crowded"
+        "low": F.min("label").over(by_sig), "high": F.max("label").over(by_sig), "lead": F.min("node").over(by_sig),
+    })
+    return left.where("low <> high").select("lead", "node").distinct()
+
+
+def _block_links(groups: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links within each group (``lead``, ``node``), as trees over the linked sets."""
+    sizes = groups.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n_blocks"))
+    placed = groups.join(sizes, "lead").withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))
+    cells = placed.select("lead", "node", "block", other.alias("other")).select(
+        "lead", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).alias("second"),
     )
+    return cells.join(texts, "node").groupBy("lead", "i", "j").applyInPandas(_compare_blocks, "lead long, node long")
+
+
+def _compare_blocks(cell: pd.DataFrame) -> pd.DataFrame:
+    """A block with itself, or two blocks with each other."""
+    cell = cell.sort_values("node")
+    sets: list[np.ndarray] = []
+    for _, group in wordhash.buffers(cell["text"].tolist()):
+        sets += shingle_sets(group)
+    own = bool((cell["i"] == cell["j"]).all())
+    second = cell["second"].to_numpy()
+    left = np.flatnonzero(~second)
+    right = left if own else np.flatnonzero(second)
+    sizes = np.array([len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[column]  # of shingles that several sets have
+    owner = np.repeat(np.arange(len(sets)), sizes)[column >= 0]
+    column = column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    shared = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (at, at + COLUMNS))
+        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        has[owner[a:b], column[a:b] - at] = 1
+        shared += has[left] @ has[right].T
+    total = sizes[left][:, None] + sizes[right][None, :] - shared
+    linked = np.zeros((len(sets), len(sets)), dtype=bool)
+    linked[np.ix_(left, right)] = shared * WHOLE >= total * NEAR
+    linked |= linked.T
+    nodes, free, out = cell["node"].to_numpy(), np.ones(len(sets), dtype=bool), []
+    for root in range(len(sets)):
+        todo = [root] if free[root] else []
+        free[root] = False
+        while todo:
+            x = todo.pop()
+            found = np.flatnonzero(linked[x] & free)
+            free[found] = False
+            todo += found.tolist()
+            out += [(nodes[x], nodes[y]) for y in found]
+    return pd.DataFrame(out, columns=["lead", "node"]).astype(np.int64)
 
 
 def _labelled(sets: DataFrame, labels: DataFrame) -> DataFrame:
