@@ -318,7 +318,9 @@ def _unsettled(rows: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame
     left = left.withColumns({
         "low": F.min("label").over(by_sig), "high": F.max("label").over(by_sig), "lead": F.min("node").over(by_sig),
     })
-    return left.where("low <> high").select("lead", "node").distinct()
+    left = left.where("low <> high").withColumn("lead", F.min("lead").over(Window.partitionBy("node")))
+    # A set has nearly the same group in all its buckets then, and is placed once or twice.
+    return left.withColumn("lead", F.min("lead").over(by_sig)).select("lead", "node").distinct()
 
 
 def _block_links(groups: DataFrame, texts: DataFrame) -> DataFrame:
@@ -389,4 +391,5 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """The rows of the smallest id of each component, with all columns of ``df``."""
     found = jaccard_components(df, id_col, text_col)
     dropped = found.groupBy("id").agg(F.max(F.col("id").eqNullSafe(F.col("component"))).alias("stays")).where("not stays")
-    return df.join(dropped.select(F.col("id").alias(id_col)), id_col, "left_anti")
+    dropped = dropped.select(F.col("id").alias("dropped id"))
+    return df.join(dropped, F.col(id_col).eqNullSafe(F.col("dropped id")), "left_anti")
