@@ -45,7 +45,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    rows = packing.pack_documents(docs, queries.tokenizer_path())
+    rows = packing.pack_documents(docs, *queries.tokenizer())
     return rows.withColumnRenamed("id", "doc_id")
 
 

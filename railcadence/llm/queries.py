@@ -21,10 +21,11 @@ URL_RULES = [
 MARKS = "<|im_end|><|im_start|>assistant ok"
 
 
-def tokenizer_path() -> str:
+def tokenizer() -> tuple[str, str]:
+    """Ranks and pre-tokeniser of the vocabulary in ``byte_bpe_50k.json``."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def op1_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
@@ -35,7 +36,7 @@ def op1_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, d: str) -> DataFrame:
-    return pieces(packing.pack_documents(table(spark, d, "documents"), tokenizer_path()))
+    return pieces(packing.pack_documents(table(spark, d, "documents"), *tokenizer()))
 
 
 def pieces(packed: DataFrame) -> DataFrame:

@@ -70,14 +70,14 @@ def test_chat_templates():
 # ---------------------------------------------------------------- packing
 def test_packing(spark):
     tokenizers = pytest.importorskip("tokenizers")
-    path = queries.tokenizer_path()
-    plain = tokenizers.Tokenizer.from_file(path)
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     plain.encode_special_tokens = True
     rng = np.random.default_rng(5)
     words = ["the", "Word,", "x1", "  two", "\nline.", "naïve", "日本", "don't", "<|endoftext|>", "a.\nB", "\t", "!!", ""]
     texts = [" ".join(rng.choice(words, n)) for n in (1, 5, 40, 700, 4000, 3, 9, 300, 300, 90)] + [None, "", " ", "x" * 9000]
     rows = list(enumerate(texts)) + [(3, texts[3])]
-    got = packing.pack_documents(docs(spark, rows), path).collect()
+    got = packing.pack_documents(docs(spark, rows), *queries.tokenizer()).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in got:
         by_doc[r["id"]].append(r)
@@ -95,7 +95,7 @@ def test_packing(spark):
             assert r["offset"] == at
             at += r["length"]
         assert at <= 2048
-    assert packing.pack_documents(docs(spark, []), path).count() == 0
+    assert packing.pack_documents(docs(spark, []), *queries.tokenizer()).count() == 0
 
 
 def test_best_fit_uses_the_tightest_window():
