@@ -35,12 +35,18 @@ def headway_pairs(real: DataFrame, planned: DataFrame, on: Sequence[str] = PAIR_
 
 
 def score_columns(total: Column, n: Column) -> dict[str, Column]:
-    """n_pairs, avg_excess and score from a summed excess."""
+    """n_pairs, avg_excess and score from a summed excess.
+
+    The score is rounded half up from the exact decimal sum: at a tie the numerator is a
+    whole multiple of 2 n, so the quotient is exact.
+    """
     avg = total.cast("double") / n
+    pairs = n.cast("decimal(15,0)")
+    halves = ((pairs - total.cast("decimal(30,12)")) * 200 + pairs).cast("double")
     return {
         "n_pairs": n,
         "avg_excess": F.round(avg, 9),
-        "score": F.greatest(F.lit(0), F.round((F.lit(1.0) - avg) * 100).cast("int")),
+        "score": F.greatest(F.lit(0), F.floor(halves / (2 * n)).cast("int")),
     }
 
 

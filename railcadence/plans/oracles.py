@@ -53,7 +53,7 @@ pairs AS (
 
 _SCORE = """count(*) AS n_pairs,
        round(CAST(sum(excess) AS DOUBLE) / count(*), 9) AS avg_excess,
-       CAST(greatest(0, round((1.0::DOUBLE - CAST(sum(excess) AS DOUBLE) / count(*)) * 100)) AS INTEGER) AS score"""
+       CAST(greatest(0, floor(CAST(200 * (count(*) - sum(excess)) + count(*) AS DOUBLE) / (2 * count(*)))) AS INTEGER) AS score"""
 
 _DUE = "t BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-01-01 00:00:00' + INTERVAL 43200 MINUTE"
 

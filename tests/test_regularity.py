@@ -61,3 +61,11 @@ def test_rolling_scores_equal_one_call_per_cycle(spark, rows):
         got = rows(rolling.where(F.col("cycle_at") == F.lit(at(m).isoformat(sep=" ")).cast("timestamp_ntz")).drop("cycle_at"))
         assert got == rows(regularity.regularity_scores(real, planned, at(m), 60))
     rolling.unpersist()
+
+
+def test_half_ties_round_up_from_the_exact_sum(spark):
+    cases = {33: [(2, 1), (27, 20)], 50: [(3, 2), (3, 2)], 63: [(7, 4), (4, 4)], 0: [(9, 1), (1, 1)], 83: [(4, 3), (1, 1)]}
+    real = [(f"{k}-{i}", "Nord", str(k), at(1), r) for k, c in cases.items() for i, (r, _) in enumerate(c)]
+    planned = [(f"{k}-{i}", "Nord", str(k), p) for k, c in cases.items() for i, (_, p) in enumerate(c)]
+    got = regularity.regularity_scores(spark.createDataFrame(real, REAL), spark.createDataFrame(planned, PLANNED), NOON, 60)
+    assert {int(r["stop_key"]): r["score"] for r in got.collect()} == {k: k for k in cases}
