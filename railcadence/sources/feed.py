@@ -81,9 +81,14 @@ def parse_siri(
     if not wanted:
         raise ValueError(f"unknown time field {time_field}")
 
-    known = stops.agg(F.map_from_entries(F.collect_list(
-        F.struct("stop_id", F.struct("stop_seq", "stop_key", "stop_name"))
-    ))).scalar()
+    # An unreadable id names no stop; of a repeated one the last entry holds.
+    entries = stops.where("stop_id is not null").agg(F.array_sort(F.collect_list(
+        F.struct("stop_id", "stop_seq", "stop_key", "stop_name")
+    )).alias("sorted"))
+    last = F.filter("sorted", lambda x, i: ~x["stop_id"].eqNullSafe(F.get("sorted", i + 1)["stop_id"]))
+    known = entries.select(F.map_from_entries(F.transform(last, lambda x: F.struct(
+        x["stop_id"], F.struct(x["stop_seq"].alias("stop_seq"), x["stop_key"].alias("stop_key"), x["stop_name"].alias("stop_name"))
+    )))).scalar()
     per_kind = F.array(*[
         F.struct(F.lit(kind).alias("kind"), _timed_calls(F.col("calls"), field).alias("calls"))
         for kind, field in wanted.items()

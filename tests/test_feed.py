@@ -127,6 +127,14 @@ def test_trips_and_wide_frame(spark, stops, rows):
     assert got["KALI72"]["gare_b"] is not None and got["BIPA84"]["gare_b"] is None and got["KALI72"]["gare_c"] is None
 
 
+def test_repeated_and_unreadable_stop_ids(spark, stops):
+    more = spark.createDataFrame(
+        [(3, 200, "gare_n", "gare_n"), (4, None, "gare_x", "gare_x"), (5, None, "gare_y", "gare_y")], stops.schema
+    )
+    got = parse(spark, stops.union(more), BASIC).where("mission = 'KALI72' and kind = 'real'").collect()
+    assert sorted((r["stop_key"], r["stop_seq"]) for r in got) == [("gare_a", 0), ("gare_n", 3)]
+
+
 def test_parsing_does_not_shuffle(spark, stops):
     plan = parse(spark, stops, BASIC)._jdf.queryExecution().executedPlan().toString()
     # the only exchange gathers the stop list into one value
