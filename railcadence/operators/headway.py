@@ -11,11 +11,6 @@ from railcadence.operators import ordered as O
 
 GROUP = ("direction", "stop_key")
 
-# A slice with more rows than this is split further, at the instants it holds.
-BUSY_ROWS = 2_000_000
-# No more slices than this can count as busy, however much data there is.
-MAX_BUSY_SLICES = 100_000
-
 
 def headways_of(
     calls: DataFrame,
@@ -23,45 +18,31 @@ def headways_of(
     train: str = "mission",
     t: str = "t",
     slice_seconds: float = O.SLICE_SECONDS,
-    busy_rows: int = BUSY_ROWS,
-    leading_only: bool = False,
 ) -> DataFrame:
     """Add ``headway_min`` to calls that are unique by group, train and time.
 
-    Calls are ordered by time and then by ``train``. A time slice of a group is
-    one window partition as long as it is of ordinary size. Only very many trains
-    at the same instants can make a slice too large; such slices are reduced to
-    one call per instant first, and the other calls there follow by 0 minutes.
-
-    A slice is busy above ``busy_rows`` and above its share of all rows, so the
-    list of busy slices never exceeds MAX_BUSY_SLICES and may be broadcast.
-
-    With ``leading_only`` calls that follow another one by 0 minutes at the same
-    instant may be left out, and only group, train and headway are returned.
+    Calls are ordered by time and then by ``train``. Of the calls at one instant the
+    first one has the headway of the instant; the others follow by 0 minutes. So
+    very many trains at one instant never meet in a task: instants are an aggregate,
+    and the join that brings them back to the calls is keyed by train too.
     """
-    sliced = O.with_slice(calls.withColumn("_us", times.micros(calls, t)), group, "_us", slice_seconds)
-    notes = O.slice_notes(sliced, group, "_us")
-    share = notes.agg(F.sum("_n")).scalar() / F.lit(float(MAX_BUSY_SLICES))
-    slice_key = [*group, O.SLICE]
-    busy = F.broadcast(notes.where((F.col("_n") > busy_rows) & (F.col("_n") > share)).select(*slice_key))
-    minutes = times.whole_minutes(F.col("_us"), F.col("prev__us"))
-
-    kept = [*group, train] if leading_only else calls.columns
-
-    calm = O.previous_in_slices(
-        sliced.join(busy, slice_key, "left_anti"), notes, group, "_us", ties=[train]
-    ).select(*kept, minutes.alias("headway_min"))
-
-    crowd = sliced.join(busy, slice_key, "left_semi")
-    instants = crowd.groupBy(*slice_key, "_us").agg(F.min(train).alias(train))
-    leading = O.previous_in_slices(instants, notes, group, "_us")
-    if leading_only:
-        return calm.unionByName(leading.select(*kept, minutes.alias("headway_min")))
-    # the join key holds the train, so an instant with very many trains is spread
-    leading = leading.select(*group, "_us", train, minutes.alias("_lead_min"), F.lit(True).alias("_leads"))
+    rows = calls.withColumn("_us", times.micros(calls, t))
+    leading = leading_headways(rows, group, train, "_us", slice_seconds).select(
+        *group, "_us", train, F.col("headway_min").alias("_lead_min"), F.lit(True).alias("_leads")
+    )
     headway = F.when(F.col("_leads"), F.col("_lead_min")).otherwise(F.lit(0))
-    crowded = crowd.join(leading, [*group, "_us", train], "left").select(*kept, headway.alias("headway_min"))
-    return calm.unionByName(crowded)
+    return rows.join(leading, [*group, "_us", train], "left").select(*calls.columns, headway.alias("headway_min"))
+
+
+def leading_headways(
+    rows: DataFrame, group: Sequence[str], train: str, us: str, slice_seconds: float = O.SLICE_SECONDS
+) -> DataFrame:
+    """group, train, ``us``, headway_min: the first train of every instant."""
+    instants = rows.groupBy(*group, us).agg(F.min(train).alias(train))
+    minutes = times.whole_minutes(F.col(us), F.col(f"prev_{us}"))
+    return O.with_previous(instants, group, us, slice_seconds=slice_seconds).select(
+        *group, train, us, minutes.alias("headway_min")
+    )
 
 
 def _usable(passages: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -124,8 +105,10 @@ def planned_intervals(
     passages: DataFrame, group: Sequence[str] = GROUP, per: Sequence[str] = ("mission",), **tuning
 ) -> DataFrame:
     """Planned headways a score can divide by, those above 0 minutes: mission,
-    direction, stop_key, headway_min. Copies cannot matter here and are not counted."""
+    direction, stop_key, headway_min. Only the first train of an instant can have one,
+    and copies cannot matter."""
     calls = planned_calls(passages, group, per)
-    return headways_of(calls, group, leading_only=True, **tuning).where(F.col("headway_min") > 0).select(
+    rows = calls.withColumn("_us", times.micros(calls, "t"))
+    return leading_headways(rows, group, "mission", "_us", **tuning).where(F.col("headway_min") > 0).select(
         "mission", *group, "headway_min"
     )

@@ -38,13 +38,10 @@ def all_known(*names: str) -> Column:
 
 
 def slice_notes(sliced: DataFrame, group: Sequence[str], us: str, carry: Sequence[str] = ()) -> DataFrame:
-    """group, slice, _last, _n: last row and number of rows of every slice."""
+    """group, slice, _last: last row of every slice."""
     # a bare BIGINT keeps the aggregate hash-based
     last = F.max(F.struct(us, *carry)) if carry else F.max(us)
-    notes = sliced.groupBy(*group, SLICE).agg(last.alias("_last"), F.count("*").alias("_n"))
-    # always true; it makes every use need both values, so that Spark sees equal
-    # aggregates and computes them once
-    return notes.where(F.col("_last").isNotNull() & (F.col("_n") > 0))
+    return sliced.groupBy(*group, SLICE).agg(last.alias("_last"))
 
 
 def previous_in_slices(
@@ -53,9 +50,8 @@ def previous_in_slices(
     group: Sequence[str],
     us: str,
     carry: Sequence[str] = (),
-    ties: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``prev_<us>`` and ``prev_<carry>``; rows of equal ``us`` are ordered by ``ties``.
+    """Add ``prev_<us>`` and ``prev_<carry>``.
 
     The lookup of the slice before joins on the window's own keys, so the rows
     are shuffled and sorted once for both.
@@ -65,7 +61,7 @@ def previous_in_slices(
     before = notes.select(
         *key, F.lag("_last").over(Window.partitionBy(*group).orderBy(SLICE)).alias("_before")
     ).where(F.col("_before").isNotNull())
-    inside = sliced.withColumn("_in", F.lag(value).over(Window.partitionBy(*key).orderBy(us, *ties)))
+    inside = sliced.withColumn("_in", F.lag(value).over(Window.partitionBy(*key).orderBy(us)))
     prev = F.coalesce("_in", "_before")
     found = {us: prev} if not carry else {c: prev[c] for c in (us, *carry)}
     return inside.join(before, key, "left").select(

@@ -56,23 +56,30 @@ def test_real_headways_equal_lag_over_the_whole_group(spark, seed, n, span, reso
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(calls)
 
 
-@pytest.mark.parametrize("busy_rows", [1, 3, 40])
-def test_busy_slices_give_the_same_headways(spark, monkeypatch, busy_rows):
-    monkeypatch.setattr(headway, "MAX_BUSY_SLICES", 10**6)
+def test_crowded_instants_give_the_same_headways(spark):
     calls = random_calls(21, 400, 900, 1.0) + [(f"X{i}", "Sud", "gentilly", at(i)) for i in range(30)]
     df = spark.createDataFrame(calls, "mission string, direction string, stop_key string, t timestamp_ntz")
-    got = headway.real_headways(df.repartition(5), slice_seconds=30, busy_rows=busy_rows)
+    got = headway.real_headways(df.repartition(5), slice_seconds=30)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(calls)
     # the same trains again a little later: planned calls repeat a train
     twice = calls + [(m, d, s, t + dt.timedelta(seconds=20)) for m, d, s, t in calls]
     planned = planned_frame(spark, [(*c, at(-60)) for c in twice])
-    got = headway.planned_headways(planned, slice_seconds=30, busy_rows=busy_rows).drop("copies")
+    got = headway.planned_headways(planned, slice_seconds=30).drop("copies")
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(twice)
-    positive = headway.planned_intervals(planned, slice_seconds=30, busy_rows=busy_rows)
+    positive = headway.planned_intervals(planned, slice_seconds=30)
     assert sorted((tuple(r) for r in positive.collect()), key=str) == sorted(
         ((m, d, s, h) for m, d, s, _, h in brute(twice) if h), key=str)
 
 
+def test_all_trains_at_one_instant(spark):
+    calls = [(f"M{i:03d}", "Nord", "s", at(0)) for i in range(200)]
+    df = spark.createDataFrame(calls, "mission string, direction string, stop_key string, t timestamp_ntz")
+    got = headway.real_headways(df)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(calls)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()  # no hint, whatever the size
+
+
 def test_order_of_rows_and_partitions_does_not_matter(spark):
     df = spark.createDataFrame(random_calls(9, 150, 3000, 1.0), "mission string, direction string, stop_key string, t timestamp_ntz")
     results = [
