@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from railcadence.functions import times
 
@@ -44,10 +44,15 @@ def mission_drift(
 def drift_stats(drift: DataFrame, by: Sequence[str] = ("direction",)) -> DataFrame:
     """Mean drift of the running missions per direction."""
     return drift.groupBy(*by).agg(
-        F.count("*").alias("n_missions"), F.avg("drift").alias("mean_drift")
+        F.count("*").alias("n_missions"), (_exact_sum("drift") / F.count("drift")).alias("mean_drift")
     )
 
 
+def _exact_sum(col: str) -> Column:
+    """Sum of a ratio, added up as decimals: it does not depend on row order."""
+    return F.sum(F.col(col).cast("decimal(28,12)")).cast("double")
+
+
 def drift_stats_repeated(
     history: DataFrame,
     observed_at: str = "observed_at",
@@ -94,6 +99,6 @@ def drift_stats_repeated(
         .groupBy("direction")
         .agg(
             F.sum("_pairs").alias("n_pairs"),
-            (F.sum("_drift") / F.sum("_pairs")).alias("mean_drift"),
+            (_exact_sum("_drift") / F.sum("_pairs")).alias("mean_drift"),
         )
     )
