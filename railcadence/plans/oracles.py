@@ -372,7 +372,8 @@ FROM wide
 """ for s in STOPS) + """
 UNION ALL SELECT 'direction', count(*), count(*) FILTER (WHERE direction NOT IN ('Nord', 'Sud')) FROM daily
 UNION ALL SELECT 'max_below_mean', count(*), count(*) FILTER (WHERE max_gap < mean_gap) FROM daily""",
-        "history_roundtrip": f"{_DAILY} SELECT * FROM served",
+        "history_roundtrip": f"""{_DAILY}
+SELECT * FROM served WHERE CAST(date_observation AS DATE) > (SELECT CAST(min(date_observation) AS DATE) FROM served)""",
         "update_cycle": f"""
 WITH {_p('day')}, {_REAL_CALLS}, {_PLANNED_CALLS}, {_PAIRS},
 scores AS (SELECT direction, stop_key, {_SCORE} FROM pairs WHERE {_DUE} GROUP BY direction, stop_key),

@@ -49,9 +49,12 @@ def append_history(
 ) -> None:
     """Add the rows of one cycle. The path is created by the first append.
 
-    Every cycle owns its partition, and writing it again replaces it: a restarted
-    batch cannot add its rows twice.
+    Every cycle owns its partitions, and writing it again replaces them all: a
+    restarted batch cannot add its rows twice, and files of days that the rerun
+    no longer has go after its job has committed.
     """
+    spark = df.sparkSession
+    before = _cycle_files(spark, path, cycle, len(partition_by))
     (
         df.withColumn("cycle", F.lit(str(cycle)))
         .write.mode("overwrite")
@@ -59,6 +62,15 @@ def append_history(
         .partitionBy(*partition_by, "cycle")
         .parquet(path)
     )
+    # a partition that was written again has new files only
+    for stale in before & _cycle_files(spark, path, cycle, len(partition_by)):
+        _delete(spark, stale)
+
+
+def _cycle_files(spark: SparkSession, path: str, cycle: int | str, depth: int) -> set[str]:
+    """Data files of one cycle, below ``depth`` other partition columns."""
+    pattern = _path(spark, f"{path}/{'*/' * depth}cycle={cycle}/part-*")
+    return {s.getPath().toString() for s in _fs(spark, path).globStatus(pattern) or []}
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:
@@ -76,7 +88,7 @@ def read_day(spark: SparkSession, path: str, service_date: str) -> DataFrame | N
 
 
 def _version_name(version: int) -> str:
-    return f"v{version:012d}"
+    return f"v{version:020d}"  # wide enough for a time in microseconds
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:

@@ -52,6 +52,16 @@ def test_a_repeated_cycle_replaces_its_rows(spark, root, rows):
     assert rows(got.select("direction", "v", "cycle")) == [("Nord", 1, 1), ("Nord", 1, 2), ("Sud", 2, 1)]
 
 
+def test_a_rerun_with_fewer_days_leaves_no_stale_rows(spark, root, rows):
+    df = spark.createDataFrame([("2026-04-17", 1), ("2026-04-18", 2)], "service_date string, v int")
+    for cycle in (1, 11):
+        T.append_history(df, root, cycle, ["service_date"])
+    T.append_history(df.where("v = 2"), root, 1, ["service_date"])
+    assert rows(T.read_history(spark, root).select("v", "cycle")) == [(1, 11), (2, 1), (2, 11)]
+    T.append_history(df.where("v = 0"), root, 11, ["service_date"])
+    assert rows(T.read_history(spark, root).select("v", "cycle")) == [(2, 1)]
+
+
 def test_rebuild_may_read_what_it_replaces(spark, root, rows):
     assert T.read_current(spark, root) is None
     T.rebuild(spark.createDataFrame([(1,)], "v int"), root, 0)
@@ -61,7 +71,7 @@ def test_rebuild_may_read_what_it_replaces(spark, root, rows):
     assert rows(T.read_current(spark, root, before=3)) == [(3,)]
     assert T.read_current(spark, root, before=2) is None  # older versions are gone
     # a version without its success mark does not count
-    spark.createDataFrame([(9,)], "v int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/v000000000009")
+    spark.createDataFrame([(9,)], "v int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/v00000000000000000009")
     assert rows(T.read_current(spark, root)) == [(4,)]
 
 
