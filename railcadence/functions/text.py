@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterable
 
 import pandas as pd
@@ -45,21 +44,38 @@ def _decomposed(col: Column) -> Column:
 
     @F.pandas_udf("string")
     def nfkd(values: pd.Series) -> pd.Series:
-        return values.map(lambda text: unicodedata.normalize("NFKD", text), na_action="ignore")
+        return values.str.normalize("NFKD") if values.notna().any() else values
 
     return nfkd(col)
 
 
+def _bare(name: Column) -> Column:
+    return F.regexp_replace(name, r"\([^\n]*?\)", "")
+
+
+def _folded(bare: Column) -> Column:
+    """Decomposed where needed: of plain ASCII text only a NULL goes to Python."""
+    return F.coalesce(_decomposed(F.when(bare.rlike(r"[^\x00-\x7F]"), bare)), bare)
+
+
+def _key(folded: Column) -> Column:
+    key = F.regexp_replace(F.lower(folded), "[ -]", "_")
+    key = F.regexp_replace(key, r"[^\p{L}\p{N}_]+", "")
+    key = F.regexp_replace(key, "_+", "_")
+    return F.btrim(key, F.lit("_"))
+
+
 def normalize_key(name: Column) -> Column:
     """Name to a column-safe key: no bracketed part, no accents, lower case, ``_`` between words.
 
     Accents are separate marks after decomposition and go with everything else
     that is neither letter, digit nor ``_``.
     """
-    bare = F.regexp_replace(name, r"\([^\n]*?\)", "")
-    accented = F.when(bare.rlike(r"[^\x00-\x7F]"), bare)  # ASCII text is not sent to Python
-    folded = F.coalesce(_decomposed(accented), bare)
-    key = F.regexp_replace(F.lower(folded), "[ -]", "_")
-    key = F.regexp_replace(key, r"[^\p{L}\p{N}_]+", "")
-    key = F.regexp_replace(key, "_+", "_")
-    return F.btrim(key, F.lit("_"))
+    return _key(_folded(_bare(name)))
+
+
+def normalize_keys(names: Column) -> Column:
+    """:func:`normalize_key` of every name of an array, as one text per row on the way to Python."""
+    # line breaks leave no trace in a key, so they can part the names
+    lines = F.array_join(F.transform(names, lambda n: F.replace(_bare(n), F.lit("\n"), F.lit(""))), "\n")
+    return F.transform(F.split(_folded(lines), "\n", -1), _key)

@@ -93,12 +93,12 @@ def load_new_snapshots(
             newest = wanted.select("path").first()  # at most one row
             if newest is None:
                 continue
-            lines = snapshots.read_lines(spark, newest["path"])
+            records = snapshots.read_records(spark, newest["path"])
         else:
-            lines = snapshots.read_lines(spark, landing).join(
+            records = snapshots.read_records(spark, landing).join(
                 wanted.select("file_name").distinct(), "file_name", "left_semi"
             )
-        rows, bad = snapshots.snapshot_rows(lines)
+        rows, bad = snapshots.snapshot_rows(records)
         loaded.append((snapshots.snapshot_passages(rows, kind), wanted))
         rejects.append(bad)
     if not loaded:
@@ -132,10 +132,18 @@ def run_cycle(
     key_stops: Mapping[str, str] = S.KEY_STOPS,
     horizon_min: float = S.HORIZON_MINUTES,
     cap: int = S.GAP_CAP_MIN,
+    seen_until: Column | None = None,
 ) -> None:
-    """Reference, scores, gaps and drift of one service day as of one moment."""
-    day = T.read_day(spark, tables.passages, service_date)
-    if day is None:
+    """Reference, scores, gaps and drift of one service day as of one moment.
+
+    With ``seen_until`` later snapshots and later cycles do not count, so that the
+    cycles of several snapshots may run after all of them were loaded.
+    """
+    def seen(table: DataFrame | None) -> DataFrame | None:
+        return table if table is None or seen_until is None else table.where(F.col("observed_at") <= seen_until)
+
+    day = seen(T.read_day(spark, tables.passages, service_date))
+    if day is None or day.isEmpty():
         return
     planned, real = day.where(F.col("kind") == "planned"), day.where(F.col("kind") == "real")
     ref = update_reference(spark, tables, day, cycle)
@@ -158,7 +166,7 @@ def run_cycle(
     missions = gaps.mission_gaps(gaps.schedule_gaps(planned, real, ref))
     append(gaps.gap_history_rows(missions, as_of), tables.gap_history)
 
-    history = T.read_day(spark, tables.gap_history, service_date)
+    history = seen(T.read_day(spark, tables.gap_history, service_date))
     if history is None:
         return
     now = history.where(F.col("cycle").cast("string") == str(cycle))

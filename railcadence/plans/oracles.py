@@ -143,8 +143,8 @@ WITH files AS (
 
 _LINES = """
 WITH lines AS (
-  SELECT strftime(ts, '%Y-%m-%d') AS file_name, event_type, 'M' || event_id AS mission,
-         'a, "b"' AS destination,
+  SELECT 'f' || (event_id // 100) AS file_name, event_type, event_id, 'M' || event_id AS mission,
+         'a, "b"' || chr(10) AS destination,
          strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 = 0 THEN ''
            ELSE rtrim('.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0'), '0') END || '+00:00' AS iso
   FROM events)"""
@@ -326,10 +326,12 @@ FROM calls""",
         "csv_rows": f"""{_LINES}
 SELECT file_name, mission, destination,
        CASE WHEN event_type <> 'signup' THEN iso END AS date_observation,
-       'Saint-Rémy' AS column_1, iso AS value_1, 'Antony' AS column_2, CAST(NULL AS VARCHAR) AS value_2
+       'Saint-Rémy' AS column_1, 'saint_remy' AS key_1, iso AS value_1,
+       'Antony' AS column_2, 'antony' AS key_2, CAST(NULL AS VARCHAR) AS value_2
 FROM lines WHERE event_type <> 'error'""",
         "csv_rejects": f"""{_LINES}
-SELECT file_name, mission || ',"a, ""b""' || '",' || iso || ',NA,' || iso || ',x' AS line
+SELECT file_name, mission || ',"a, ""b""' || chr(10) || '",' || iso || ',NA,' || iso || ','
+         || CASE WHEN event_id % 1000 = 0 THEN repeat('"q",', 5000) ELSE 'x' END AS line
 FROM lines WHERE event_type = 'error'""",
         "csv_roundtrip": f"""
 WITH {_p('day')}

@@ -285,36 +285,39 @@ def json_props(spark, d):
     return events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-def _snapshot_lines(spark, d):
-    """Wide snapshot files as text, one per day; errors have a field too many, signups too few."""
-    day = F.to_date("ts").cast("string")
+def _snapshot_records(spark, d):
+    """Wide snapshot files as text, one per 100 events; errors have fields too many (each
+    thousandth event 5,000 quoted ones), signups too few. Destinations hold a line break."""
+    block = F.floor(F.col("event_id") / 100).cast("bigint")
     iso = F.concat(F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00"))
-    head = F.concat_ws(",", F.concat(F.lit("M"), F.col("event_id").cast("string")), F.lit('"a, ""b"""'))
+    head = F.concat_ws(",", F.concat(F.lit("M"), F.col("event_id").cast("string")), F.lit('"a, ""b""\n"'))
     line = (
-        F.when(F.col("event_type") == "error", F.concat_ws(",", head, iso, F.lit("NA"), iso, F.lit("x")))
+        F.when(F.col("event_type") == "error", F.concat_ws(
+            ",", head, iso, F.lit("NA"), iso,
+            F.when(F.col("event_id") % 1000 == 0, F.repeat(F.lit('"q",'), 5000)).otherwise(F.lit("x")),
+        ))
         .when(F.col("event_type") == "signup", F.concat_ws(",", head, iso))
         .otherwise(F.concat_ws(",", head, iso, F.lit("NA"), iso))
     )
-    events = A.table(spark, d, "events")
-    rows = events.select(day.alias("file_name"), line.alias("line"))
-    headers = events.select(day.alias("file_name")).distinct().withColumn(
-        "line", F.lit("mission,destination,Saint-Rémy,Antony,date_observation")
+    files = A.table(spark, d, "events").groupBy(F.concat(F.lit("f"), block.cast("string")).alias("file_name")).agg(
+        F.concat_ws("\n", F.lit("mission,destination,Saint-Rémy,Antony,date_observation"),
+                    F.collect_list(line)).alias("content")
     )
-    return rows.unionByName(headers)
+    return snapshots.split_records(files)
 
 
 def csv_rows(spark, d):
-    rows, _ = snapshots.snapshot_rows(_snapshot_lines(spark, d))
+    rows, _ = snapshots.snapshot_rows(_snapshot_records(spark, d))
     first, second = F.col("stops")[0], F.col("stops")[1]
     return rows.select(
         "file_name", "mission", "destination", "date_observation",
-        first["column"].alias("column_1"), first["value"].alias("value_1"),
-        second["column"].alias("column_2"), second["value"].alias("value_2"),
+        first["column"].alias("column_1"), first["key"].alias("key_1"), first["value"].alias("value_1"),
+        second["column"].alias("column_2"), second["key"].alias("key_2"), second["value"].alias("value_2"),
     )
 
 
 def csv_rejects(spark, d):
-    _, rejects = snapshots.snapshot_rows(_snapshot_lines(spark, d))
+    _, rejects = snapshots.snapshot_rows(_snapshot_records(spark, d))
     return rejects
 
 

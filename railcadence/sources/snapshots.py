@@ -55,48 +55,64 @@ def latest_snapshot(files: DataFrame, prefix: str, by: Sequence[str] = ()) -> Da
     )
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_name, line of snapshot files. Large files are read in parts."""
-    return spark.read.option("recursiveFileLookup", "true").text(path).select(
-        snapshot_name(F.col("_metadata.file_path")).alias("file_name"),
-        F.regexp_replace("value", "[﻿\r]", "").alias("line"),
-    ).where(F.length(F.trim("line")) > 0)
+# One CSV field. A quote counts at the start of a field only; text after the closing
+# quote belongs to the field. Possessive throughout: one pass, no backtracking, no deep stack.
+_FIELD = r'(?:"(?:[^"]++|"")*+"?+)?+[^,\n]*+'
 
 
-def csv_fields(line: Column) -> Column:
-    """Fields of one CSV line; quotes protect commas, doubled quotes stand for one."""
-    # a comma outside quotes has an even number of quotes after it
-    quoted = F.transform(
-        F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1),
-        lambda f: F.when(
-            f.startswith('"') & f.endswith('"') & (F.length(f) >= 2),
-            F.replace(f.substr(F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"')),
-        ).otherwise(f),
+def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """file_name, header, keys, line of snapshot files; see :func:`split_records`.
+
+    A snapshot lists the trains of one moment, so a file is read whole.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return split_records(files.select(snapshot_name(F.col("_metadata.file_path")).alias("file_name"), "value"), "value")
+
+
+def split_records(files: DataFrame, content: str = "content", first_column: str = "mission") -> DataFrame:
+    """Whole files to one row per record: file_name, header, keys, line.
+
+    A quoted field may hold line breaks. The header is the record that starts with
+    ``first_column``; files without one have no rows. Its names and their keys are
+    worked out once per file. Blank records are left out.
+    """
+    text_ = F.regexp_replace(content, "[\ufeff\r]", "")
+    records = F.regexp_extract_all(text_, F.lit(rf"({_FIELD}(?:,{_FIELD})*+)(?:\n|\z)"), F.lit(1))
+    listed = files.select("file_name", F.filter(records, lambda r: F.length(F.trim(r)) > 0).alias("lines"))
+
+    def is_header(line: Column) -> Column:
+        return F.substring_index(line, ",", 1) == first_column
+
+    header = listed.select("*", csv_fields(F.array_min(F.filter("lines", is_header))).alias("header")).where(
+        F.col("header").isNotNull()
     )
+    keyed = header.select("*", text.normalize_keys(F.col("header")).alias("keys"))
+    return keyed.select("file_name", "header", "keys", F.explode("lines").alias("line")).where(~is_header(F.col("line")))
+
+
+def csv_fields(line: Column) -> Column:
+    """Fields of one CSV record; quotes protect commas and line breaks, doubled quotes stand for one."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({_FIELD})"), F.lit(1))
+    parts = r'(?s)^"((?:[^"]++|"")*+)"?+(.*)$'
+    quoted = F.transform(raw, lambda f: F.when(f.startswith('"'), F.concat(
+        F.replace(F.regexp_extract(f, parts, 1), F.lit('""'), F.lit('"')), F.regexp_extract(f, parts, 2),
+    )).otherwise(f))
     return F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", -1))
 
 
 def snapshot_rows(
-    lines: DataFrame, columns: Sequence[str] = S.SNAPSHOT_META, first_column: str = "mission"
+    records: DataFrame, columns: Sequence[str] = S.SNAPSHOT_META
 ) -> tuple[DataFrame, DataFrame]:
-    """Lines to (rows, rejects).
+    """Records to (rows, rejects).
 
-    Files differ in their columns (only served stops are listed), so each line is
-    matched with the header of its own file, the line that starts with
-    ``first_column``. Lines with more fields than their header are rejected;
-    missing fields at the end count as empty.
+    Files differ in their columns (only served stops are listed), so each record
+    carries the header of its own file. Records with more fields than their header
+    are rejected; missing fields at the end count as empty.
 
-    rows     file_name, the listed ``columns`` as text, stops array<(column, value)>
+    rows     file_name, the listed ``columns`` as text, stops array<(column, value, key)>
     rejects  file_name, line
     """
-    is_header = F.substring_index("line", ",", 1) == first_column
-    headers = lines.where(is_header).groupBy("file_name").agg(F.min("line").alias("_header"))
-    matched = (
-        lines.where(~is_header)
-        .join(headers, "file_name")
-        .select("file_name", "line", csv_fields(F.col("line")).alias("fields"),
-                csv_fields(F.col("_header")).alias("header"))
-    )
+    matched = records.withColumn("fields", csv_fields(F.col("line")))
     too_many = F.size("fields") > F.size("header")
 
     def field(i: Column) -> Column:
@@ -106,16 +122,18 @@ def snapshot_rows(
     def named(name: str) -> Column:
         return field((F.array_position("header", name) - 1).cast("int")).alias(name)
 
-    # one (column, value) pair per header entry that is not a listed column
-    pairs = F.transform("header", lambda h, i: F.struct(h.alias("column"), field(i).alias("value")))
-    stops = F.filter(pairs, lambda p: ~p["column"].isin(*columns))
+    # one entry per header name that is not a listed column
+    entries = F.transform("header", lambda h, i: F.struct(
+        h.alias("column"), field(i).alias("value"), F.get("keys", i).alias("key")
+    ))
+    stops = F.filter(entries, lambda p: ~p["column"].isin(*columns))
     rows = matched.where(~too_many).select("file_name", *[named(c) for c in columns], stops.alias("stops"))
     return rows, matched.where(too_many).select("file_name", "line")
 
 
 def read_snapshot_csv(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Snapshot files to (rows, rejects); see :func:`snapshot_rows`."""
-    return snapshot_rows(read_lines(spark, path))
+    return snapshot_rows(read_records(spark, path))
 
 
 def snapshot_passages(rows: DataFrame, kind: str) -> DataFrame:
@@ -128,6 +146,7 @@ def snapshot_passages(rows: DataFrame, kind: str) -> DataFrame:
             times.parse_instant_utc(p["value"]).alias("t"),
             i.alias("stop_seq"),
             p["column"].alias("stop_name"),
+            p["key"].alias("stop_key"),
         )),
         lambda c: c["t"].isNotNull(),
     )
@@ -140,7 +159,7 @@ def snapshot_passages(rows: DataFrame, kind: str) -> DataFrame:
         F.coalesce("destination", F.lit("")).alias("destination"),
         F.lit(kind).alias("kind"),
         F.lit(None).cast("int").alias("stop_id"),
-        text.normalize_key(F.col("c.stop_name")).alias("stop_key"),
+        F.col("c.stop_key").alias("stop_key"),
         F.col("c.stop_seq").alias("stop_seq"),
         F.col("c.t").alias("t"),
         F.coalesce("pos", F.lit(0)).alias("call_pos"),

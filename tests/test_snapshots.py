@@ -13,9 +13,8 @@ from railcadence.sources import snapshots as N
 NOW = "2026-04-17 08:00:00"
 
 
-def lines_of(spark, files):
-    data = [(name, line) for name, text in files.items() for line in text.splitlines()]
-    return spark.createDataFrame(data, "file_name string, line string")
+def records_of(spark, files):
+    return N.split_records(spark.createDataFrame(list(files.items()), "file_name string, content string"))
 
 
 def test_newest_file_of_a_prefix(spark, tmp_path):
@@ -39,28 +38,45 @@ def test_ledger(spark, rows):
 
 
 def test_lines_follow_their_own_header(spark, rows):
-    lines = lines_of(spark, {
+    records = records_of(spark, {
         "f1": 'mission,destination,Antony,Rémy\nA,"x, ""y""",2026-04-17T07:00:00+02:00,NA\nB,z,1,2,3\nC,z',
         "f2": "mission,Rémy,destination\nD,2026-04-17 08:00:00+02:00,w",
     })
-    got, rejects = N.snapshot_rows(lines, ["mission", "destination", "date_observation"])
+    got, rejects = N.snapshot_rows(records, ["mission", "destination", "date_observation"])
     out = {r["mission"]: r for r in got.collect()}
     assert set(out) == {"A", "C", "D"}
     assert out["A"]["destination"] == 'x, "y"' and out["D"]["destination"] == "w"
-    assert [tuple(s) for s in out["A"]["stops"]] == [("Antony", "2026-04-17T07:00:00+02:00"), ("Rémy", None)]
-    assert [tuple(s) for s in out["C"]["stops"]] == [("Antony", None), ("Rémy", None)]
-    assert [tuple(s) for s in out["D"]["stops"]] == [("Rémy", "2026-04-17 08:00:00+02:00")]
+    assert [tuple(s)[:2] for s in out["A"]["stops"]] == [("Antony", "2026-04-17T07:00:00+02:00"), ("Rémy", None)]
+    assert [tuple(s)[:2] for s in out["C"]["stops"]] == [("Antony", None), ("Rémy", None)]
+    assert [tuple(s)[:2] for s in out["D"]["stops"]] == [("Rémy", "2026-04-17 08:00:00+02:00")]
     assert out["D"]["date_observation"] is None
     assert rows(rejects) == [("f1", "B,z,1,2,3")]
 
 
+def test_quoted_breaks_long_records_and_stray_quotes(spark, rows):
+    long = ",".join(['"q"'] * 5000)
+    wide = "mission,destination," + ",".join(f'"Gare ""{i}"""' for i in range(3000))
+    records = records_of(spark, {
+        "f1": '\ufeffmission,destination,Antony\r\nA,"Saint\nRemy",1\r\nB,5" wide,2\nC,"x"y,3\n\n' + long + '\nD,"' + '""' * 20000 + '"\n'
+              ',"",\nE,"open, to\nthe end',
+        "f2": wide + "\nF,x," + ",".join(['"7"'] * 3000) + "\n",
+        "f3": "no,header\n1,2", "f4": "", "f5": None,
+    })
+    got, rejects = N.snapshot_rows(records, ["mission", "destination"])
+    out = {r["mission"]: (r["destination"], r["stops"][0]["value"], r["stops"][0]["key"]) for r in got.collect()}
+    assert out.pop("D") == ('"' * 20000, None, "antony")
+    assert out == {"A": ("Saint\nRemy", "1", "antony"), "B": ('5" wide', "2", "antony"), "C": ("xy", "3", "antony"),
+                   None: (None, None, "antony"), "E": ("open, to\nthe end", None, "antony"), "F": ("x", "7", "gare_0")}
+    assert rows(rejects) == [("f1", long)]
+
+
 def test_snapshot_passages(spark):
-    lines = lines_of(spark, {"f": (
+    records = records_of(spark, {"f": (
         "mission,type_mission,destination,Saint-Rémy,Antony,gare_depart,nb_arrets_desservis,date_observation\n"
         "KALI72,KALI,Massy,2026-04-17 07:10:00+02:00,2026-04-17 07:05:00+02:00,Antony,2,2026-04-17 07:00:00.5+02:00\n"
         "ELYS66,ELYS,,,soon,,0,2026-04-17 07:00:00.5+02:00"
     )})
-    rows_, _ = N.snapshot_rows(lines)
+    rows_, _ = N.snapshot_rows(records)
     got = N.snapshot_passages(rows_, "planned").withColumn("s", F.date_format("t", "HH:mm")).collect()
     assert sorted((r["mission"], r["stop_key"], r["s"], r["n_served"], r["origin"]) for r in got if r["t"]) == [
         ("KALI72", "antony", "07:05", 2, "Antony"), ("KALI72", "saint_remy", "07:10", 2, "Antony")]
