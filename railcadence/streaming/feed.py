@@ -21,7 +21,10 @@ CYCLE = "5 minutes"
 def payload_stream(
     spark: SparkSession, landing: str, archive: str | None = None, max_files: int = 1000
 ) -> DataFrame:
-    """Payload files as they land: payload, file_name, landed_at."""
+    """Payload files as they land, oldest first: payload, file_name, landed_at.
+
+    ``max_files`` bounds a micro-batch and changes no result.
+    """
     reader = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", max_files)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
@@ -41,26 +44,30 @@ def run_feed(
     key_stops: Mapping[str, str] = S.KEY_STOPS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Every micro-batch is one cycle; its moment is the newest payload of the batch.
+    """Every payload stamp is one cycle, however the payloads fall into micro-batches.
+
+    Passages are cleaned against the stamp of their own payload. The cycles of a
+    batch run in the order of their stamps; each has its stamp in microseconds as its
+    number, belongs to the day of its stamp and sees passages up to its stamp only.
+    A stamp that a later batch repeats runs again and replaces its rows. So the size
+    of a batch bounds the work at once and changes no result.
 
     A watermark would not do for the finished-mission rule: it follows event
     times, and departure times lie in the future.
     """
-    def one_cycle(batch: DataFrame, batch_id: int) -> None:
-        # two small values per micro-batch, to name the day and the moment
-        newest = batch.agg(
-            F.unix_micros(F.max("landed_at")).alias("us"),
-            F.max(F.to_date("landed_at")).cast("string").alias("day"),
-        ).first()
-        if newest is None or newest["us"] is None:
-            return
-        as_of = F.timestamp_micros(F.lit(newest["us"]))
-        C.load_passages(parse_siri(batch, stops), tables, as_of, batch_id)
-        C.run_cycle(spark, tables, newest["day"], as_of, batch_id, key_stops)
+    def cycles(batch: DataFrame, batch_id: int) -> None:
+        C.load_passages(parse_siri(batch, stops), tables, F.col("observed_at"), batch_id)
+        # two small values per payload stamp, at most one stamp per file of the batch
+        stamps = batch.select(
+            F.unix_micros("landed_at").alias("us"), F.to_date("landed_at").cast("string").alias("day")
+        ).where("us IS NOT NULL").distinct().orderBy("us").collect()
+        for us, day in stamps:
+            as_of = F.timestamp_micros(F.lit(us))
+            C.run_cycle(spark, tables, day, as_of, us, key_stops, seen_until=as_of)
 
     return (
         payloads.writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": CYCLE}))
-        .foreachBatch(one_cycle)
+        .foreachBatch(cycles)
         .start()
     )
