@@ -33,8 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import Column, DataFrame, functions as F
 
 from railcadence.llm import wordhash
 from railcadence.llm.common import staged
@@ -186,6 +185,39 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 )
 
 
+def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of sorted rows each (sig, node) once, without signatures that only one set has. The
+    first and last row of a partition stay: their neighbours may be in another one."""
+    names = ["sig", "node", "info"]
+    tail, tail_stays = None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in names]
+        stays = np.zeros(batch.num_rows, dtype=bool)
+        if tail is None:
+            stays[0] = True
+        else:
+            columns = [np.concatenate((t, c)) for t, c in zip(tail, columns, strict=True)]
+            stays = np.concatenate(([tail_stays], stays))
+        sig, node, _ = columns
+        new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])))
+        columns, stays = [c[new] for c in columns], stays[new]
+        equal = columns[0][1:] == columns[0][:-1]
+        stays[1:] |= equal
+        stays[:-1] |= equal
+        tail, tail_stays = [c[-1:] for c in columns], bool(stays[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(c[:-1][stays[:-1]]) for c in columns], names=names)
+    if tail is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in tail], names=names)
+
+
+def _with(rows: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """``rows`` with aggregates of their group. Unlike a window, aggregate and join let Spark
+    combine before the shuffle and split a group that holds a large part of all rows."""
+    return rows.join(rows.groupBy(key).agg(*aggregates), key)
+
+
 # ---------------------------------------------------------------- verification
 def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose text has the node's shingles: an id may be repeated with another text."""
@@ -256,13 +288,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ).select("node", F.when(F.col("c0") == F.col("c1"), F.col("first")).otherwise(
         F.raise_error(F.lit("two shingle sets have one digest"))).alias("first"))
 
-    by_sig = Window.partitionBy("sig")
-    shared = (
+    # Ranges of (sig, node), not of sig: a bucket of very many sets is split over tasks.
+    shared = staged(
         documents.mapInArrow(_signature_rows, "sig long, node long, info long")
-        .withColumns({"low": F.min("node").over(by_sig), "high": F.max("node").over(by_sig)})
-        .where("low <> high").select("sig", "node", "info").dropDuplicates(["sig", "node"])
+        .repartitionByRange("sig", "node").sortWithinPartitions("sig", "node")
+        .mapInArrow(_shared_rows, "sig long, node long, info long"), "signatures",
     )
-    rows = staged(shared.select("*", (F.count("*").over(by_sig) > crowd).alias("crowded")), "buckets").select(
+    rows = _with(shared, "sig", F.count("*").alias("n_sets")).where("n_sets > 1")
+    rows = staged(rows.select("sig", "node", "info", (F.col("n_sets") > crowd).alias("crowded")), "buckets").select(
         "sig", "node", "crowded", F.shiftright("info", SLACK_BITS + BAND_BITS).alias("n"),
         F.shiftright("info", SLACK_BITS).bitwiseAND(F.lit((1 << BAND_BITS) - 1)).alias("band"),
         (F.col("info").bitwiseAND(F.lit((1 << SLACK_BITS) - 1)) - 1).alias("slack"),
@@ -274,10 +307,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
     pairs = staged(_candidates(rows.where("not crowded"), held), "pairs")
     stay = held.where("n_crowded > slack").select("node", "band")
-    rows = staged(
-        rows.where("crowded").join(stay, ["node", "band"]).select("sig", "node")
-        .withColumn("lead", F.min("node").over(by_sig)), "buckets",
-    )
+    rows = staged(rows.where("crowded").join(stay, ["node", "band"]).select("sig", "node"), "buckets")
+    rows = staged(_with(rows, "sig", F.min("node").alias("lead")), "buckets")
     involved = pairs.select(F.col("lead").alias("node")).union(pairs.select("node")).union(rows.select("node")).distinct()
     texts = _texts(documents, nodes, involved)
     pairs = staged(pairs.union(rows.where("node <> lead").select("lead", "node")).distinct(), "pairs")
@@ -309,18 +340,17 @@ def _candidates(rows: DataFrame, held: DataFrame) -> DataFrame:
 def _unsettled(rows: DataFrame, done: DataFrame, labels: DataFrame) -> DataFrame:
     """Buckets without their leader and, where nothing was in between, without the sets near
     it; only those that still hold several components."""
-    by_sig = Window.partitionBy("sig")
     left = rows.where("node <> lead").join(done, ["lead", "node"], "left").join(labels, "node", "left").select(
-        "sig", "node", "near", "mid", F.coalesce("label", "node").alias("label")
+        "sig", "node", "near", (F.col("mid") & ~F.col("near")).alias("apart"), F.coalesce("label", "node").alias("label")
     )
-    between = F.max(F.col("mid") & ~F.col("near")).over(by_sig)
-    left = left.withColumn("between", between).where("between or not near")
-    left = left.withColumns({
-        "low": F.min("label").over(by_sig), "high": F.max("label").over(by_sig), "lead": F.min("node").over(by_sig),
-    })
-    left = left.where("low <> high").withColumn("lead", F.min("lead").over(Window.partitionBy("node")))
+    left = _with(staged(left, "left"), "sig", F.max("apart").alias("between")).where("between or not near")
+    left = _with(
+        staged(left, "left"), "sig",
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("first"),
+    ).where("low <> high").select("sig", "node", "first")
     # A set has nearly the same group in all its buckets then, and is placed once or twice.
-    return left.withColumn("lead", F.min("lead").over(by_sig)).select("lead", "node").distinct()
+    left = staged(_with(staged(left, "left"), "node", F.min("first").alias("own")).select("sig", "node", "own"), "left")
+    return _with(left, "sig", F.min("own").alias("lead")).select("lead", "node").distinct()
 
 
 def _block_links(groups: DataFrame, texts: DataFrame) -> DataFrame:

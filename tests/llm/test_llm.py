@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -233,6 +234,33 @@ def test_similarity_odd_rows(spark):
     assert partenum.jaccard_components(docs(spark, [])).count() == 0
 
 
+def test_shared_rows_keep_every_common_signature():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        rows = sorted((int(rng.integers(0, 12)), int(rng.integers(0, 4))) for _ in range(rng.integers(0, 40)))
+        sets: dict[int, set] = {}
+        for sig, node in rows:
+            sets.setdefault(sig, set()).add(node)
+        # Equal rows are in one partition; partitions and batches end anywhere else.
+        cuts = [i for i in range(1, len(rows)) if rows[i] != rows[i - 1] and rng.random() < 0.2]
+        found = []
+        for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True):
+            edges = sorted({a, b, *(int(x) for x in rng.integers(a, b + 1, 3))})
+            batches = [
+                pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows[x:y]], pa.int64()), pa.array([r[1] for r in rows[x:y]], pa.int64()),
+                     pa.array([7] * (y - x), pa.int64())], names=["sig", "node", "info"],
+                ) for x, y in zip(edges, edges[1:], strict=False)
+            ]
+            part = [r for out in partenum._shared_rows(iter(batches)) for r in zip(*(c.to_pylist() for c in out.columns))]
+            inner = {r[0] for r in part[1:-1]}
+            assert all(len(sets[sig]) > 1 for sig in inner)
+            found += part
+        assert len(found) == len(set(found))
+        common = {(sig, node, 7) for sig, nodes in sets.items() if len(nodes) > 1 for node in nodes}
+        assert common <= set(found) <= {(sig, node, 7) for sig, nodes in sets.items() for node in nodes}
+
+
 def test_signatures_lose_no_pair():
     rng = np.random.default_rng(8)
     for size in [3, 4, 7, 10, 20, 28, 40, 55, 56, 57, 100, 300, 1200]:
