@@ -3,9 +3,11 @@
 Of the page's tree, menus, headers, footers, sidebars, notices, adverts, forms, scripts and
 reader comments are cut off by their tags, roles and class names. For every node left,
 the density is its characters per tag, adjusted by the share of link text; a node's
-children's densities are summed. The node with the largest sum is the centre of the text;
-the least density on its path up to the body is the threshold, and under every node that
-reaches it the descendant with the largest sum is taken.
+children's densities are summed. The node with the largest sum is the centre of the text,
+the least density on its path up to the top the threshold. The highest node on that path
+that reaches it is the top itself, so the whole page is written, direct text included. Left
+out are unmarked menus only: at least ``MENU_LINKS`` links and no other text, below the
+threshold, neither in the centre or an article nor around one of them.
 
 Defined results: NULL and empty pages have empty text, text outside any tag is a block,
 unclosed and crossing tags are closed where HTML closes them or where their parent ends,
@@ -39,6 +41,8 @@ DROPPED_NAMES = frozenset(
     "related recommended recommendations newsletter subscribe subscription signup login search pagination pager popup modal "
     "overlay widget widgets skip toolbar paywall disclaimer".split()
 )
+#: Links of an unmarked menu, at least.
+MENU_LINKS = 3
 #: Headers of a page go, headers within the article hold its title.
 HEADER_NAMES = frozenset(("header", "topbar"))
 NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
@@ -53,11 +57,11 @@ _NAME = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
+    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "links", "parent", "sum", "tag", "tags")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.children = tag, parent, []
-        self.chars = self.link_chars = self.tags = self.link_tags = 0
+        self.chars = self.link_chars = self.tags = self.link_tags = self.links = 0
         self.density = self.sum = 0.0
         self.best = self
 
@@ -154,7 +158,7 @@ class _Builder(HTMLParser):
             self.stack[-1].children.append(data)
 
 
-def _measure(nodes: list[Node], body: Node) -> None:
+def _measure(nodes: list[Node], top: Node) -> None:
     """Counts, densities and their sums, children before parents."""
     for node in reversed(nodes):
         for child in node.children:
@@ -165,9 +169,10 @@ def _measure(nodes: list[Node], body: Node) -> None:
                 node.tags += child.tags + 1
                 node.link_chars += child.link_chars
                 node.link_tags += child.link_tags + (child.tag == "a")
+                node.links += child.links + (child.tag == "a" and child.chars > 0)
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
-    share = body.link_chars / body.chars if body.chars else 0.0
+    share = top.link_chars / top.chars if top.chars else 0.0
     for node in reversed(nodes):
         c, lc = node.chars, node.link_chars
         if c:
@@ -203,37 +208,45 @@ def _blocks(top: Node) -> Iterator[str]:
             todo += reversed(x.children)
 
 
+def _cut_menus(nodes: list[Node], top: Node) -> None:
+    """Takes the unmarked menus out of the tree."""
+    if top.link_chars == top.chars:
+        return  # a page of links is no menu beside a text
+    centre = top.best
+    whole = [centre, *(n for n in nodes if n.tag in ("article", "main"))]
+    threshold, node = centre.density, centre
+    while node is not None:
+        threshold, node = min(threshold, node.density), node.parent
+    held = {id(n) for n in whole}
+    around: set[int] = set()
+    for node in whole:
+        while node is not None and id(node) not in around:
+            around.add(id(node))
+            node = node.parent
+    todo = [top]
+    while todo:
+        node = todo.pop()
+        if id(node) in held:
+            continue
+        inside = [c for c in node.children if isinstance(c, Node)]
+        menus = {
+            id(c) for c in inside
+            if id(c) not in around and c.links >= MENU_LINKS and c.link_chars == c.chars and c.density < threshold
+        }
+        node.children = [c for c in node.children if id(c) not in menus]
+        todo += [c for c in inside if id(c) not in menus]
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     builder = _Builder()
     builder.feed(html)
     builder.close()
-    body = next((n for n in builder.nodes if n.tag == "body"), builder.root)
-    _measure(builder.nodes, body)
-    centre = body.best
-    threshold, node = centre.density, centre
-    while node is not None and node is not body:
-        node = node.parent
-        if node is not None:
-            threshold = min(threshold, node.density)
-    taken: dict[int, Node] = {}
-    todo = [body]
-    while todo:
-        node = todo.pop()
-        if node.density >= threshold and node.chars:
-            taken[id(node.best)] = node.best
-        if id(node) not in taken:
-            todo += [c for c in node.children if isinstance(c, Node)]
-    out: list[str] = []
-    todo = [body]
-    while todo:  # in page order; what lies in a taken node is written with it
-        node = todo.pop()
-        if id(node) in taken:
-            out += _blocks(node)
-        else:
-            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return "\n".join(out)
+    top = builder.root  # text after the body's end tag is the body's
+    _measure(builder.nodes, top)
+    _cut_menus(builder.nodes, top)
+    return "\n".join(_blocks(top))
 
 
 def extracted(pages: DataFrame, html_col: str = "html", into: str = "text") -> DataFrame:

@@ -296,6 +296,71 @@ def test_main_text():
     assert htmltext.main_text("</b></p>< <<p>a<td>b") != ""
 
 
+class Written:
+    """A random page and its blocks, written along with it."""
+
+    def __init__(self, seed):
+        self.rng, self.n, self.html, self.blocks, self.line = np.random.default_rng(seed), 0, [], [], []
+
+    def border(self):
+        if self.line:
+            self.blocks.append(" ".join(self.line))
+        self.line = []
+
+    def words(self):
+        self.n += 1
+        text = " ".join(f"w{self.n}x{k}" for k in range(int(self.rng.choice([1, 2, 9, 60]))))
+        self.html.append(f" {text} ")
+        self.line.append(text)
+
+    def node(self, tag, depth):
+        self.border()
+        self.html.append(f"<{tag}>")
+        inner = {"ul": ["li"], "table": ["tr"], "tr": ["td"]}.get(tag, ["p", "p", "h2", "div", "section", "ul", "table", "text"])
+        for _ in range(int(self.rng.integers(1, 6))):
+            here = str(self.rng.choice(inner))
+            if tag in ("p", "h2") or here == "text" or depth <= 0 and tag not in ("ul", "table", "tr"):
+                self.words()
+            else:
+                self.node(here, depth - 1)
+            if self.rng.random() < 0.1 and tag in ("div", "section"):
+                self.html.append('<div class="ad">Buy this now</div><nav><a href=/>Home</a></nav>')
+        self.html.append(f"</{tag}>")
+        self.border()
+
+
+@pytest.mark.parametrize("top", ["article", "main", "div", "body"])
+def test_main_text_keeps_every_part(top):
+    for seed in range(60):
+        page = Written(seed)
+        page.node(top, 4)
+        got = htmltext.main_text("<nav><a href=/>Home</a></nav>" + "".join(page.html) + "<footer>site</footer>")
+        assert got.split("\n") == page.blocks, (seed, "".join(page.html))
+
+
+def test_main_text_keeps_parts_below_the_centre():
+    long = "<p>" + "word " * 60 + "</p>"
+    for parts in (
+        ["<h1>Title of it</h1>", "<div>" + long * 10 + "</div>"], ["Bare text. ", "<div>" + long * 10 + "</div>", "Tail."],
+        ["<section>" + long * k + "</section>" for k in (1, 9, 2)], ["<table><tr><td>1</table>", "<ul><li>b</ul>", "<div>" + long * 9 + "</div>"],
+        ["<div>" + long * 9 + "</div>", "<p><a href=q>One link</a></p>", "<ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul>"],
+    ):
+        for page in ("<article>" + "".join(parts) + "</article>", "<body><div><main>" + "".join(parts) + "</main></div></body>"):
+            got = htmltext.main_text(page)
+            assert "".join(got.split()) == "".join(re.sub("<[^>]*>", "", page).split())
+    two = htmltext.main_text("<body><article><h2>A</h2><div>" + long * 9 + "</div></article><article><p>B</p></article></body>late")
+    assert two.split("\n")[0] == "A" and two.split("\n")[-2:] == ["B", "late"]
+
+
+def test_main_text_leaves_unmarked_menus_out():
+    menu = "<div><ul>" + "".join(f"<li><a href=/{k}>Part {k}</a></li>" for k in range(6)) + "</ul></div>"
+    text = "<p>" + "word " * 60 + "</p>"
+    page = "<body>" + menu + "<div><h1>T</h1>" + text * 5 + "</div><p><a href=q><b>One</b><i>single</i><u>link</u></a></p></body>"
+    got = htmltext.main_text(page)
+    assert "Part" not in got and got.startswith("T\nword") and got.endswith("Onesinglelink")
+    assert htmltext.main_text(menu + menu).count("Part") == 12
+
+
 def test_extracted_rows(spark):
     pages = spark.createDataFrame([(1, "<article><p>a b</p></article>", "k"), (1, None, "k"), (None, "<p>q", "k")], "page_id long, html string, text string")
     got = htmltext.extracted(pages, into="main").collect()
