@@ -2,8 +2,8 @@
 
 An archive is two tables in one folder. ``payloads`` holds the bytes of each payload once,
 under their SHA-256; ``headers`` holds one exact record header per capture. Records are
-put together again by a join on the digest, and the digest of what was stored is computed
-anew while reading. Both tables are written and read by Spark alone.
+put together again by a join on the digest, and the digests of what was stored and of what was
+put together are computed anew while reading; a missing payload is an error. Both tables are written and read by Spark alone.
 
 Defined results: NULL payload is empty, NULL ids and addresses are written as absent header
 fields, payloads under ``min_revisit`` bytes are always responses, of repeated rows with the
@@ -103,18 +103,44 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return stored.select(checked.alias("digest"), "payload")
 
 
+def _with_payloads(spark: SparkSession, path: str, stored: DataFrame, found: str) -> DataFrame:
+    """Every record header beside column ``found`` of its payload; reading stops with an
+    error where a header's payload isn't stored."""
+    lost = F.raise_error(F.concat(F.lit("missing payload "), F.coalesce("digest", F.lit(""))))
+    kind = stored.schema[found].dataType
+    return read_headers(spark, path).join(stored, "digest", "left").withColumn(
+        found, F.when(F.col(found).isNull(), lost.cast(kind)).otherwise(F.col(found))
+    )
+
+
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """One row per record with the size of its full payload; payload bytes don't move."""
     sizes = read_payloads(spark, path).select("digest", F.octet_length("payload").cast("long").alias("payload_bytes"))
-    return read_headers(spark, path).join(sizes, "digest")
+    return _with_payloads(spark, path, sizes, "payload_bytes")
 
 
 def reconstruct(spark: SparkSession, path: str) -> DataFrame:
     """Whole records as bytes (``record``): a revisit has a header only, and the payload it
-    stands for beside it (``payload``)."""
+    stands for beside it (``payload``). The header has ``header_bytes``."""
     end = F.lit(b"\r\n\r\n")
     body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return read_headers(spark, path).join(read_payloads(spark, path), "digest").select(
-        "page", "url", "record_type", "refers_to", "digest",
-        F.concat(F.encode("header", "UTF-8"), body, end).alias("record"), "payload",
+    header = F.encode("header", "UTF-8")
+    return _with_payloads(spark, path, read_payloads(spark, path), "payload").select(
+        "page", "url", "record_type", "refers_to", "digest", "content_length",
+        F.octet_length(header).alias("header_bytes"), F.concat(header, body, end).alias("record"), "payload",
+    )
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """One row per record put together again, with size and digest of its full payload as
+    found there: a response's is cut out of its record by the lengths, a revisit's is the
+    one it refers to. Reading stops with an error where a record differs from its header."""
+    body = F.expr("substring(record, header_bytes + 1, octet_length(record) - header_bytes - 4)")
+    full = F.when(F.col("record_type") == "response", F.col("body")).otherwise(F.col("payload"))
+    fits = (F.octet_length("body") == F.col("content_length")) & (F.col("found") == F.col("digest"))
+    return reconstruct(spark, path).withColumn("body", body).withColumn("found", F.sha2(full, 256)).select(
+        "page", "url", "record_type", "refers_to", F.octet_length(full).cast("long").alias("payload_bytes"),
+        F.when(fits, F.col("found")).otherwise(
+            F.raise_error(F.concat(F.lit("damaged record of payload "), F.col("digest")))
+        ).alias("digest"),
     )

@@ -109,7 +109,7 @@ def op9_url_filters(spark: SparkSession, d: str) -> DataFrame:
 def op10_warc(spark: SparkSession, d: str) -> DataFrame:
     path = work_dir(spark, "warc")
     archive.write_archive(table(spark, d, "pages"), path)
-    return archive.read_captures(spark, path).select(
+    return archive.read_records(spark, path).select(
         F.col("page").cast("long").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
         "record_type", F.col("refers_to").cast("long").alias("refers_to"),
     )

@@ -461,6 +461,42 @@ def test_archive(spark, tmp_path):
     assert archive.read_captures(spark, empty).count() == 0
 
 
+def test_archive_records(spark, tmp_path):
+    texts = ["é" * 60] * 3 + ["s" * 99] * 2 + [None, "", "L" * 5000, "a\r\n\r\nb" * 30]
+    rows = [(i, f"http://é/{i}\r\n", t, "k") for i, t in enumerate(texts)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest string")
+    path = str(tmp_path / "archive")
+    archive.write_archive(pages, path)
+    whole = {int(r["page"]): r for r in archive.reconstruct(spark, path).collect()}
+    read = {int(r["page"]): r for r in archive.read_records(spark, path).collect()}
+    assert set(whole) == set(read) == set(range(len(texts)))
+    for i, text in enumerate(texts):
+        payload = (text or "").encode()
+        digest = hashlib.sha256(payload).hexdigest()
+        revisit = i in (1, 2)
+        head, _, body = bytes(whole[i]["record"]).partition(b"\r\n\r\n")
+        fields = dict(line.split(b": ", 1) for line in head.split(b"\r\n")[1:])
+        assert body == (b"" if revisit else payload) + b"\r\n\r\n" and bytes(whole[i]["payload"]) == payload
+        assert fields[b"WARC-Type"] == (b"revisit" if revisit else b"response")
+        assert fields[b"Content-Length"] == (b"0" if revisit else str(len(payload)).encode())
+        assert fields[b"WARC-Payload-Digest"] == f"sha256:{digest}".encode()
+        assert fields[b"WARC-Target-URI"] == f"http://é/{i}%0D%0A".encode() and fields.get(b"X-Refers-To-Page") == (b"0" if revisit else None)
+        assert (read[i]["digest"], read[i]["payload_bytes"]) == (digest, len(payload))
+    lost = str(tmp_path / "lost")
+    spark.read.parquet(f"{path}/headers").write.parquet(f"{lost}/headers")
+    spark.read.parquet(f"{path}/payloads").where("length(payload) <> 5000").write.parquet(f"{lost}/payloads")
+    for reader in (archive.read_captures, archive.reconstruct, archive.read_records):
+        with pytest.raises(Exception, match="missing payload"):
+            reader(spark, lost).collect()
+    cut = str(tmp_path / "cut")
+    spark.read.parquet(f"{path}/payloads").write.parquet(f"{cut}/payloads")
+    spark.read.parquet(f"{path}/headers").select(
+        F.replace("header", F.lit("Content-Length: 5000"), F.lit("Content-Length: 4999")).alias("header")
+    ).write.parquet(f"{cut}/headers")
+    with pytest.raises(Exception, match="damaged record"):
+        archive.read_records(spark, cut).collect()
+
+
 # ---------------------------------------------------------------- pipeline
 @needs_tables
 def test_pipeline_stages(spark):
