@@ -7,8 +7,9 @@ their mean, weighted by line length, is mapped to the score by a logistic curve.
 
 Lines have no labels of their own: in training each takes its document's. Training uses
 the ``max_labelled`` labelled documents that come first by a hash of their id, and of these
-the ones of at most ``max_lines`` lines; only their bins reach the driver. Scoring covers
-whole texts of all rows and reads the text column alone.
+the ones of at most ``max_lines`` lines; of several such rows with one id it uses the one
+whose text comes first by a digest. Only their bins reach the driver: ``max_labelled`` rows
+at most. Scoring covers whole texts of all rows and reads the text column alone.
 
 Defined results: NULL and empty texts are one empty line; of several labels of a document
 the larger share decides, labels other than 0 and 1 are ignored; without both kinds of
@@ -18,6 +19,7 @@ name are kept.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -229,23 +231,33 @@ def train(
     # At most max_labelled rows of two numbers.
     rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
 
+    schema = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("good", pa.int32()), ("bins", pa.binary()), ("length", pa.binary())])
+
     def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[int, tuple] = {}  # one row per chosen id
         for batch in batches:
             ids, good = batch.column("id").to_pylist(), batch.column("good").to_pylist()
-            out = []
             for at, group in wordhash.buffers(batch.column("text").to_pylist()):
-                bins, length, per_text = line_bins(group)
+                better: dict[int, tuple] = {}
+                for i, text in zip(at, group, strict=True):
+                    if text.count(b"\n") < max_lines:
+                        key = hashlib.blake2b(text, digest_size=16).digest()
+                        held = better.get(ids[i]) or first.get(ids[i])
+                        if held is None or key < held[0]:
+                            better[ids[i]] = (key, good[i], text)
+                if not better:
+                    continue
+                bins, length, per_text = line_bins([text for _, _, text in better.values()])
                 ends = np.cumsum(per_text)
-                for i, n, end in zip(at, per_text.tolist(), ends.tolist(), strict=True):
-                    if n <= max_lines:
-                        out.append((ids[i], good[i], bins[end - n : end].tobytes(), length[end - n : end].astype("<i8").tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)],
-                names=["id", "good", "bins", "length"],
-            )
-
-    found = rows.mapInArrow(binned, "id long, good int, bins binary, length binary").toPandas()
-    found = found.sort_values(["id", "bins"], kind="stable")
+                for (doc, (key, label, _)), n, end in zip(better.items(), per_text.tolist(), ends.tolist(), strict=True):
+                    first[doc] = (key, label, bins[end - n : end].tobytes(), length[end - n : end].astype("<i8").tobytes())
+        columns = list(zip(*((doc, *row) for doc, row in first.items()), strict=True)) or [[]] * len(schema)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    found = rows.mapInArrow(binned, "id long, key binary, good int, bins binary, length binary")
+    # One row per id of each task, then one per id.
+    found = found.groupBy("id").agg(F.min_by(F.struct("good", "bins", "length"), "key").alias("row")).select("id", "row.*").toPandas()
+    found = found.sort_values("id", kind="stable")
     if not len(found):
         return fit(np.zeros((0, N_FEATURES), np.uint8), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
     bins = np.frombuffer(b"".join(found["bins"]), dtype=np.uint8).reshape(-1, N_FEATURES)

@@ -171,6 +171,22 @@ def test_quality(spark):
     assert linecrf.score_texts(nothing, ["a", None]).tolist() == [0.5, 0.5]
 
 
+def test_quality_training_rows_are_bounded(spark, monkeypatch):
+    rows = [(i % 40, f"Fine line {i}.\nAnother one.") for i in range(80)] + [(41, f"### {k}\n" * (k % 3 + 1)) for k in range(500)]
+    rows += [(42, "a\n" * 1000), (42, "b"), (43, "a\n" * 1000), (44, None), (44, None)]
+    labels = spark.createDataFrame([(i, int(i < 41)) for i in range(45)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(linecrf, "fit", lambda bins, length, per_text, good: seen.append((bins.tobytes(), length.tolist(), per_text.tolist(), good.tolist())))
+    for n_tasks in (1, 7):
+        linecrf.train(docs(spark, rows).repartition(n_tasks), labels)
+    linecrf.train(docs(spark, rows[::-1]).repartition(3), labels, max_labelled=10)
+    # Ids 0 to 39, 41, 42 and 44; 40 has no row and 43 no text short enough.
+    assert seen[0] == seen[1] and len(seen[0][2]) == 43 and sum(seen[0][3]) == 40
+    assert sum(seen[0][2]) == len(seen[0][1]) and len(seen[2][2]) <= 10
+    linecrf.train(docs(spark, [(42, "a\n" * 1000), (42, "b")]), labels)
+    assert seen[3][1:] == ([1], [1], [0])
+
+
 @needs_tables
 def test_quality_held_out(spark):
     d = SF_DIR.replace("sf0.001", "sf0.01")
