@@ -9,7 +9,8 @@ counted before anything is joined, so the tables of the tree have one row per di
 path and not per page.
 
 Defined results: a NULL address or one without ``://`` has empty host and path and no rule;
-levels below ``depth`` share one wildcard; repeated rows are judged one by one; extra columns
+paths of any depth are split to their end, and only where a ``depth`` is given do the levels
+below it share one wildcard; repeated rows are judged one by one; extra columns
 are ignored; an empty table gives no rows.
 """
 
@@ -52,9 +53,11 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def segments_of(path: Column, depth: int = DEPTH) -> Column:
-    """Path segments with digits generalised; deeper ones become one wildcard."""
+def segments_of(path: Column, depth: int | None = DEPTH) -> Column:
+    """Path segments with digits generalised; those deeper than ``depth`` become one wildcard."""
     plain = F.split(F.regexp_replace(F.regexp_replace(path, "^/", ""), "[0-9]+", "#"), "/")
+    if depth is None:
+        return plain
     return F.when(F.size(plain) > depth, F.concat(F.slice(plain, 1, depth), F.array(F.lit("**")))).otherwise(plain)
 
 
@@ -70,14 +73,16 @@ def template_tree(
     paths = staged(
         judged.groupBy("host", "segments").agg(
             F.count("*").alias("n"), F.count("label").alias("lab"), F.count_if(F.col("label") == "block").alias("blk")
-        ).withColumn("template", F.lit("")), "paths",
+        ).select("*", F.lit("").alias("template"), F.lit(0).alias("at")), "paths",
     )
-    levels = paths.select(F.max(F.size("segments"))).first()[0] or 0
-    node = ["host", "template"]
-    for level in range(levels):
-        here = paths.withColumn("segment", F.get("segments", F.lit(level)))
-        branches = here.where("segment is not null").groupBy(*node, "segment").agg(
-            *[F.sum(c).alias(c) for c in ("n", "lab", "blk")]
+    node, ended = ["host", "template"], F.size("segments") <= F.col("at")
+    rest = F.expr("slice(segments, at + 1, size(segments))")
+    done = paths.where(ended)
+    # Each round splits the nodes where paths part, down to the end of every path.
+    while (here := paths.where(~ended)).take(1):
+        here = here.withColumn("segment", F.get("segments", F.col("at")))
+        branches = here.groupBy(*node, "segment").agg(
+            *[F.sum(c).alias(c) for c in ("n", "lab", "blk")], F.min(rest).alias("low"), F.max(rest).alias("high"),
         )
         nodes = branches.groupBy(*node).agg(
             F.count("*").alias("n_branches"), *[F.sum(c).alias(f"all_{c}") for c in ("n", "lab", "blk")]
@@ -88,17 +93,25 @@ def template_tree(
         error = F.sqrt(pooled * (1 - pooled) * (1 / F.nullif("lab", F.lit(0)) + 1 / F.nullif(other_lab, F.lit(0))))
         similar = (F.col("lab") >= min_labels) & (other_lab >= min_labels) & (gap <= max_z * error)
         variable = (F.col("n_branches") >= min_branches) & (F.col("all_n") <= max_visits * F.col("n_branches"))
+        # All paths of a branch share what its least and its greatest path share; up to there
+        # its nodes have one branch each, which nothing can merge.
+        differ = F.array_position(F.zip_with("low", "high", lambda a, b: a.eqNullSafe(b)), F.lit(False)).cast("int")
+        common = F.when(differ > 0, differ - 1).otherwise(F.size("low"))
         named = branches.join(nodes, node).select(
-            *node, "segment", F.when(variable, "*").when(similar, "~").otherwise(F.col("segment")).alias("token")
+            *node, "segment", F.when(variable, "*").when(similar, "~").alias("token"), common.alias("common")
         )
+        plain = F.col("token").isNull()
+        tokens = F.when(plain, F.expr("slice(segments, at + 1, common)")).otherwise(F.array("token"))
         paths = staged(
-            here.join(named, [*node, "segment"], "left").select(
+            here.join(named, [*node, "segment"]).select(
                 "host", "segments", "n", "lab", "blk",
-                F.when(F.col("token").isNull(), F.col("template"))
-                .otherwise(F.concat("template", F.lit("/"), "token")).alias("template"),
+                F.concat("template", F.lit("/"), F.array_join(tokens, "/")).alias("template"),
+                (F.col("at") + F.size(tokens)).alias("at"),
             ),
             "paths",
         )
+        done = done.unionByName(paths.where(ended))
+    paths = done
     share = (F.col("n_blocked") + 0.5 * smoothing) / (F.col("n_labelled") + smoothing)
     templates = paths.groupBy(*node).agg(F.sum("lab").alias("n_labelled"), F.sum("blk").alias("n_blocked"))
     return paths.select("host", "segments", "template").join(
@@ -107,8 +120,8 @@ def template_tree(
 
 
 def judge(
-    pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url", depth: int = DEPTH,
-    **tree: float,
+    pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",
+    depth: int | None = None, **tree: float,
 ) -> DataFrame:
     """``id``, ``host``, ``path``, ``rule``, ``verdict`` and the ``template`` that a rejected
     page belongs to. The rule decides; without one, the template does."""

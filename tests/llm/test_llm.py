@@ -452,6 +452,22 @@ def test_url_templates(spark):
     assert tree["g", "/a/b/c/d/e/f/g/h/**"] == (0, 0, False)
 
 
+def test_url_templates_of_any_depth(spark):
+    deep = "/" + "/".join("abcdefghijkl")
+    rows = [(k, f"http://h.org{deep}/spam/{k}" + "/e" * 30) for k in range(100, 200)]
+    rows += [(k, f"http://h.org{deep}/good/{k}") for k in range(300, 400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    rules = [("h.org", f"{deep}/spam/1{d}", "block") for d in range(9)] + [("h.org", f"{deep}/good/3{d}", "allow") for d in range(9)]
+    got = {r["id"]: (r["rule"], r["verdict"], r["template"]) for r in url_templates.judge(pages, rules).collect()}
+    assert len(got) == 200
+    for k in range(190, 200):
+        assert got[k][:2] == (None, "block")
+        assert got[k + 200] == (None, "allow", None)
+    assert got[191][2] == f"{deep}/spam/#" + "/e" * 30
+    capped = url_templates.judge(pages, rules, depth=8).where("id in (191, 391)").collect()
+    assert {(r["verdict"], r["template"]) for r in capped} == {("allow", None)}
+
+
 # ---------------------------------------------------------------- archive
 def test_archive(spark, tmp_path):
     big, small = "é" * 60, "s" * 99
