@@ -1,7 +1,7 @@
 """DuckDB SQL with the same results, where SQL can express them.
 
-Packing, sharding, the classifier, page extraction and the pipeline have none; neither has
-the Jaccard join, whose SQL would pair all documents.
+Packing, sharding, the classifier, page extraction and the pipeline have none; neither have
+the Jaccard join, whose SQL would pair all documents, and the SimHash join (no XXH64).
 """
 
 from __future__ import annotations
@@ -85,7 +85,91 @@ FROM firsts
 """
 
 
+#: ``crc.t``: the 256 steps of the CRC-32 polynomial.
+_CRC_TABLE = """crc AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+)"""
+
+
+def _crc32(text: str) -> str:
+    """Byte by byte over UTF-8, as a reduction over a list that starts with the first state."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    steps = f"list_transform(range(octet_length(encode({text}))), lambda i: {byte})"
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], {steps}), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))")
+
+
+OP11 = rf"""
+WITH {_CRC_TABLE},
+docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+items AS (SELECT row_number() OVER () AS r, coalesce({_WORDS}, []) AS w FROM benchmark),
+doc_grams AS (
+    SELECT r, array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, (VALUES (1), (2), (3)) n(k) WHERE len(w) >= k)
+), item_grams AS (
+    SELECT array_to_string(w[i:i + k - 1], ' ') AS g
+    FROM (SELECT w, k, unnest(range(1, len(w) - k + 2)) AS i FROM items, (VALUES (1), (2), (3)) n(k) WHERE len(w) >= k)
+), buckets AS (
+    SELECT g, {_crc32("g")} % 10000 AS bucket FROM (SELECT g FROM doc_grams UNION SELECT g FROM item_grams), crc
+), placed AS (SELECT r, bucket FROM doc_grams JOIN buckets USING (g)),
+raw AS (SELECT bucket, count(*) AS s FROM placed GROUP BY bucket),
+wanted AS (SELECT bucket, count(*) AS t FROM item_grams JOIN buckets USING (g) GROUP BY bucket),
+totals AS (
+    SELECT CAST((SELECT count(*) FROM doc_grams) AS DOUBLE) AS big, CAST((SELECT count(*) FROM item_grams) AS DOUBLE) AS small
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((CAST(coalesce(t, 0) AS DOUBLE) + 1) * (big + 10000)
+        / ((CAST(s AS DOUBLE) + 1) * (small + 10000)))) AS BIGINT) AS gain
+    FROM raw LEFT JOIN wanted USING (bucket), totals
+), weights AS (
+    SELECT r, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM placed JOIN gains USING (bucket) GROUP BY r
+), scored AS (
+    SELECT doc_id, len(w) >= 20 AS long_enough, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST(
+            '0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS DOUBLE) + 0.5)
+            / 4294967296))) AS BIGINT) AS score
+    FROM docs LEFT JOIN weights USING (r)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY long_enough ORDER BY score DESC, doc_id NULLS LAST) AS place,
+        count(*) FILTER (long_enough) OVER () AS n
+    FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN long_enough AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+OP13 = rf"""
+WITH {_CRC_TABLE},
+own AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), x := coalesce(text, ''))
+        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS seq
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (SELECT conv_id, seq, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own, crc),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.seq[1:h], c.seq[1:0]), c.seq[h + 1:]) AS seq
+    FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+), members AS (
+    SELECT conv_id, len(seq) AS size, depth, seq[1:depth] AS prefix
+    FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+    SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) = depth AS childless,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256,
+        (count(*) - 1) * coalesce(len(regexp_extract_all(prefix[-1].x, '[^ 	-]+')), 0) AS saved
+    FROM members GROUP BY prefix, depth
+), below AS (
+    SELECT prefix, CAST(count(*) FILTER (childless) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM (SELECT seq[1:k] AS prefix, childless, saved
+          FROM (SELECT prefix AS seq, childless, saved, unnest(range(0, depth + 1)) AS k FROM nodes))
+    GROUP BY prefix
+), children AS (SELECT prefix[1:depth - 1] AS prefix, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+    saved_tokens, n.ends_sha256
+FROM nodes n JOIN below USING (prefix) LEFT JOIN children USING (prefix)
+    LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1]
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op1_chat_formatting": OP1, "op7_benchmark_decontamination": OP7, "op8_exact_dedup": OP8, "op10_warc": OP10,
+        "op11_importance_resampling": OP11, "op13_conversation_trie": OP13,
     }

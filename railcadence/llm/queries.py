@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from railcadence.llm import (
-    aho, archive, chat, content_sort, htmltext, linecrf, packing, partenum, shards, url_templates,
+    aho, archive, chat, content_sort, htmltext, importance, linecrf, packing, partenum, prefix_trie, shards, simhash,
+    url_templates,
 )
 from railcadence.llm.common import table
 from railcadence.session import work_dir
@@ -115,6 +116,22 @@ def op10_warc(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, d: str) -> DataFrame:
+    found = importance.resampled(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op12_simhash_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, d, "documents")).select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, d, "conversations")).drop("last_ref")
+
+
 def pipeline(spark: SparkSession, d: str) -> DataFrame:
     import corpus_pipeline
 
@@ -124,6 +141,7 @@ def pipeline(spark: SparkSession, d: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     listed = [
         op1_chat_formatting, op2_packing, op3_sharding, op4_quality_classifier, op5_ngram_jaccard_join,
-        op6_html_extraction, op7_benchmark_decontamination, op8_exact_dedup, op9_url_filters, op10_warc, pipeline,
+        op6_html_extraction, op7_benchmark_decontamination, op8_exact_dedup, op9_url_filters, op10_warc,
+        op11_importance_resampling, op12_simhash_near_dedup, op13_conversation_trie, pipeline,
     ]
     return {q.__name__: q for q in listed}
