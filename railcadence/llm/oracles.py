@@ -146,14 +146,15 @@ own AS (
 ), heads AS (SELECT conv_id, seq, {_crc32("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM own, crc),
 rebuilt AS (
     SELECT c.conv_id, list_concat(coalesce(b.seq[1:h], c.seq[1:0]), c.seq[h + 1:]) AS seq
-    FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 20
+    FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - ((c.conv_id % 20) + 20) % 20
 ), members AS (
     SELECT conv_id, len(seq) AS size, depth, seq[1:depth] AS prefix
     FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS depth FROM rebuilt)
 ), nodes AS (
     SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) = depth AS childless,
         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256,
-        (count(*) - 1) * coalesce(len(regexp_extract_all(prefix[-1].x, '[^ 	-]+')), 0) AS saved
+        (count(*) - 1) * coalesce(len(regexp_extract_all(prefix[-1].x, '[^ 	-
+]+')), 0) AS saved
     FROM members GROUP BY prefix, depth
 ), below AS (
     SELECT prefix, CAST(count(*) FILTER (childless) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens

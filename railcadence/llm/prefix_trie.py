@@ -17,8 +17,8 @@ a comparison fail, the whole is done again with other letters and bases.
 Sums over subtrees are sums over members: a leaf counts through its smallest member, and what
 a member repeats below a node is a difference of two of its word counts.
 
-Defined results: rows without a conversation id belong to none and are left out, NULL roles
-and texts are empty, NULL turns come first, equal turns are ordered by the first
+Defined results: rows without a conversation id belong to none and are left out, ids below zero
+have groups of the same size (-20 to -1), NULL roles and texts are empty, NULL turns come first, equal turns are ordered by the first
 ``LEAD`` characters of role and text and then by a digest, repeated rows are turns, extra
 columns are ignored, an empty table gives no rows.
 """
@@ -169,7 +169,7 @@ def _rebuilt(products: DataFrame, monoid: Monoid, group: int, heads: int) -> Dat
         return found
 
     taken = head_turns(F.col("conv"), heads)
-    plans = convs.withColumn("base", F.col("conv") - F.col("conv") % group).join(base, "base", "left").select(
+    plans = convs.withColumn("base", F.col("conv") - F.pmod("conv", F.lit(group))).join(base, "base", "left").select(
         "conv", "own", taken.alias("taken"), nth("b", taken).alias("head"), nth("h", taken).alias("left_out"),
         F.array(*[F.when((taken >= k), F.col(f"b{k}")) for k in range(1, heads)]).alias("heads"),
     ).withColumn("size", F.col("head.n") + F.greatest(F.col("own") - F.col("taken"), F.lit(0)))
