@@ -28,10 +28,10 @@ def trip_summary(
     )
 
 
-def trips_of(passages: DataFrame) -> DataFrame:
+def trips_of(passages: DataFrame, *more: str) -> DataFrame:
     """Trips of parsed passages. Each call repeats its trip's values, so the
     first call stands for the trip and nothing is aggregated."""
     return passages.where(F.col("call_pos") == 0).select(
         "mission", "mission_type", "direction", "origin", "destination", "kind",
-        "n_served", "ends_at", "observed_at",
+        "n_served", "ends_at", "observed_at", *more,
     )

@@ -8,14 +8,16 @@ replaces its own rows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from railcadence import schema as S
-from railcadence.operators import clean, drift, gaps, headway, load, reference, regularity, trips
+from railcadence.functions import times
+from railcadence.operators import clean, drift, gaps, headway, load, reference, regularity, replay, trips
+from railcadence.session import work_tables
 from railcadence.sinks import tables as T
 from railcadence.sources import snapshots
 
@@ -181,6 +183,69 @@ def run_cycle(
     )
 
 
+def run_cycles(
+    spark: SparkSession,
+    tables: Tables,
+    stamps: Sequence[tuple[int, str]],
+    key_stops: Mapping[str, str] = S.KEY_STOPS,
+    horizon_min: float = S.HORIZON_MINUTES,
+    cap: int = S.GAP_CAP_MIN,
+) -> None:
+    """:func:`run_cycle` for many stamps at once, each from what was known at its time.
+
+    ``stamps`` are (microseconds, service date); a stamp is its cycle's number. The days'
+    passages are read once for all of them, whatever their number. Scores come from versions of
+    real and planned times, gaps from each cycle's newest snapshots, drift from first gaps.
+    """
+    days = sorted({day for _, day in stamps})
+    passages = [p for p in (T.read_day(spark, tables.passages, day) for day in days) if p is not None]
+    if not passages:
+        return
+    passages = reduce(DataFrame.unionByName, passages)
+    wanted = sorted((dt.date.fromisoformat(day), us) for us, day in stamps)
+    newest = replay.newest_snapshots(replay.stamps_of(passages), wanted)
+    if not newest:
+        return
+    first = min(us for *_, us in newest)
+    numbers = [us for _, us in wanted]
+    wall_clock = times.is_wall_clock(passages, "observed_at")
+    cycles = spark.createDataFrame(sorted({(day, at) for day, _, _, at in newest}), "service_date date, as_of_us bigint")
+
+    planned = passages.where(F.col("kind") == "planned")
+    trip_rows = trips.trips_of(planned, "service_date").withColumn("observed_us", times.micros(passages, "observed_at"))
+    current = T.read_current(spark, tables.reference, before=first)
+    changes = replay.replay_reference(trip_rows, current, wanted, newest)
+    changes = T.rebuild(changes, f"{tables.reference}_changes", numbers[-1], keep=1)
+    T.rebuild(changes.where("to_us is null").select(*reference.COLUMNS), tables.reference, max(us for *_, us in newest))
+
+    def append(df: DataFrame, path: str, stamp: str = "date_observation") -> None:
+        rest = [c for c in df.columns if c not in ("service_date", "as_of_us")]
+        dated = df.select(times.from_micros("as_of_us", wall_clock).alias(stamp), *rest, "service_date", F.col("as_of_us").alias("cycle"))
+        T.append_cycles(dated, path, numbers, partition_by=["service_date"])
+
+    by = ["service_date", "as_of_us"]
+    with work_tables(spark, "cycles") as keep:
+        scores = replay.replay_scores(passages, cycles, list(key_stops), keep, horizon_min)
+        append(regularity.widen_scores(scores, key_stops, [*by, "direction"]), tables.scores)
+
+    shots = spark.createDataFrame(newest, "service_date date, kind string, observed_us bigint, as_of_us bigint")
+    missions = replay.replay_mission_gaps(passages, shots, changes)
+    append(
+        missions.where("max_gap_min is not null").select(*by, "mission", "direction", "max_gap_min"),
+        tables.gap_history, "observed_at",
+    )
+    kept = [h for h in (T.read_day(spark, tables.gap_history, day) for day in days) if h is not None]
+    if not kept:
+        return
+    history = reduce(DataFrame.unionByName, kept)
+    history = history.withColumn("us", times.micros(history, "observed_at"))
+    own = history.where(F.col("cycle").cast("string").isin(*map(str, numbers))).withColumnRenamed("us", "as_of_us")
+    stats = gaps.gap_stats(own, cap=cap, by=[*by, "direction"])
+    append(stats.withColumnsRenamed({"mean_gap": "ecart_moyen", "median_gap": "ecart_median", "max_gap": "ecart_max"}), tables.gap_stats)
+    drifts = replay.replay_drift(history.select("service_date", "us", "mission", "direction", "max_gap_min"), cycles)
+    append(drifts.drop("n_missions").withColumnRenamed("mean_drift", "moyenne_allongement"), tables.drift_stats, "date_calcul")
+
+
 def archive_day(spark: SparkSession, tables: Tables, archive: str, service_date: str) -> dict[str, int]:
     """Nightly: export all tables, then drop the day's working tables."""
     paths = {p.rsplit("/", 1)[-1]: p for p in (

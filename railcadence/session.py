@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a punctuality job wants on a cluster. AQE does the run-time work:
 # it turns a join into a broadcast only after it has measured the small side,
@@ -53,3 +56,27 @@ def shared_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder name below the shared root."""
     return f"{shared_root(spark)}/railcadence/{purpose}-{uuid.uuid4().hex}"
+
+
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+@contextmanager
+def work_tables(spark: SparkSession, purpose: str) -> Iterator[Keep]:
+    """A function that writes a DataFrame below the shared root and reads it back, by a name.
+
+    Cuts plans that use a result several times; what executors lose is read again. The tables
+    are deleted at the end, so nothing that reads them may leave the block.
+    """
+    root = work_dir(spark, purpose)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield keep
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -53,24 +53,39 @@ def append_history(
     restarted batch cannot add its rows twice, and files of days that the rerun
     no longer has go after its job has committed.
     """
-    spark = df.sparkSession
-    before = _cycle_files(spark, path, cycle, len(partition_by))
+    _append(df.withColumn("cycle", F.lit(str(cycle))), path, [cycle], partition_by)
+
+
+def append_cycles(df: DataFrame, path: str, cycles: Sequence[int | str], partition_by: Sequence[str] = ()) -> None:
+    """:func:`append_history` for several cycles in one job; ``df`` has a column ``cycle``.
+
+    All of ``cycles`` are replaced, those without rows too. The rows of a partition meet in one task.
+    """
+    whole = df.withColumn("cycle", F.col("cycle").cast("string")).repartition(*partition_by, "cycle")
+    _append(whole, path, cycles, partition_by)
+
+
+def _append(df: DataFrame, path: str, cycles: Sequence[int | str], partition_by: Sequence[str]) -> None:
+    spark, depth = df.sparkSession, len(partition_by)
+    before = _cycle_files(spark, path, cycles, depth)
     (
-        df.withColumn("cycle", F.lit(str(cycle)))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by, "cycle")
         .parquet(path)
     )
     # a partition that was written again has new files only
-    for stale in before & _cycle_files(spark, path, cycle, len(partition_by)):
+    for stale in before & _cycle_files(spark, path, cycles, depth):
         _delete(spark, stale)
 
 
-def _cycle_files(spark: SparkSession, path: str, cycle: int | str, depth: int) -> set[str]:
-    """Data files of one cycle, below ``depth`` other partition columns."""
-    pattern = _path(spark, f"{path}/{'*/' * depth}cycle={cycle}/part-*")
-    return {s.getPath().toString() for s in _fs(spark, path).globStatus(pattern) or []}
+def _cycle_files(spark: SparkSession, path: str, cycles: Sequence[int | str], depth: int) -> set[str]:
+    """Data files of some cycles, below ``depth`` other partition columns."""
+    found: set[str] = set()
+    for cycle in cycles:
+        pattern = _path(spark, f"{path}/{'*/' * depth}cycle={cycle}/part-*")
+        found |= {s.getPath().toString() for s in _fs(spark, path).globStatus(pattern) or []}
+    return found
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame | None:

@@ -43,14 +43,16 @@ def run_feed(
     checkpoint: str,
     key_stops: Mapping[str, str] = S.KEY_STOPS,
     trigger: dict | None = None,
+    horizon_min: float = S.HORIZON_MINUTES,
 ) -> StreamingQuery:
     """Every payload stamp is one cycle, however the payloads fall into micro-batches.
 
     Passages are cleaned against the stamp of their own payload. The cycles of a
-    batch run in the order of their stamps; each has its stamp in microseconds as its
-    number, belongs to the day of its stamp and sees passages up to its stamp only.
-    A stamp that a later batch repeats runs again and replaces its rows. So the size
-    of a batch bounds the work at once and changes no result.
+    batch are worked out together, in one pass over the passages of their days; each
+    has its stamp in microseconds as its number, belongs to the day of its stamp and
+    sees passages up to its stamp only. A stamp that a later batch repeats runs again
+    and replaces its rows. So the size of a batch bounds the work at once and changes
+    no result, and a backlog costs no more jobs than one payload.
 
     A watermark would not do for the finished-mission rule: it follows event
     times, and departure times lie in the future.
@@ -60,10 +62,8 @@ def run_feed(
         # two small values per payload stamp, at most one stamp per file of the batch
         stamps = batch.select(
             F.unix_micros("landed_at").alias("us"), F.to_date("landed_at").cast("string").alias("day")
-        ).where("us IS NOT NULL").distinct().orderBy("us").collect()
-        for us, day in stamps:
-            as_of = F.timestamp_micros(F.lit(us))
-            C.run_cycle(spark, tables, day, as_of, us, key_stops, seen_until=as_of)
+        ).where("us IS NOT NULL").distinct().collect()
+        C.run_cycles(spark, tables, [tuple(s) for s in stamps], key_stops, horizon_min)
 
     return (
         payloads.writeStream.option("checkpointLocation", checkpoint)
