@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from railcadence import schema as S
+from railcadence.functions import times
 
 EVENT_STOPS = ("click", "error", "purchase", "signup", "view")
 
@@ -100,6 +101,55 @@ def full_passages(events: DataFrame, service_date: str) -> DataFrame:
     )
 
 
+CYCLE_HOURS = (9, 12, 15, 18)
+
+
+def event_stop_list(events: DataFrame) -> DataFrame:
+    """The event types as a stop list, numbered in the order of the alphabet."""
+    seq = F.array_position(F.array(*[F.lit(s) for s in EVENT_STOPS]), F.col("event_type")).cast("int")
+    kinds = events.select("event_type").where("event_type is not null").distinct()
+    return kinds.select(
+        seq.alias("stop_seq"), seq.alias("stop_id"), F.col("event_type").alias("stop_name"), F.col("event_type").alias("stop_key")
+    )
+
+
+def cycle_payloads(events: DataFrame) -> DataFrame:
+    """Four feed payloads a day (payload, landed_at), each with the trains then known.
+
+    A train is a user's day; its calls are the user's last event of each type. It is listed from
+    the snapshot numbered user_id % 3 on, late by its value in seconds once, twice, ... as the
+    day goes on, and without the calls it has passed.
+    """
+    us = times.micros(events, "ts")
+    calls = events.select("user_id", "event_type", us.alias("us"), F.round(F.col("value") * 1_000_000).cast("bigint").alias("late")).groupBy(
+        "user_id", "event_type", F.floor(F.col("us") / F.lit(86_400e6)).cast("bigint").alias("day")
+    ).agg(F.max_by(F.struct("us", "late"), "us").alias("call"))
+    hours = F.array(*[F.lit(h).cast("bigint") for h in CYCLE_HOURS])
+    listed = calls.select("user_id", "event_type", "day", "call.*", F.posexplode(hours).alias("k", "hour")).select(
+        "*", ((F.col("day") * 24 + F.col("hour")) * 3_600_000_000).alias("stamp"), (F.col("us") + F.col("late") * (F.col("k") + 1)).alias("real_us"),
+    ).where((F.col("user_id") % 3 <= F.col("k")) & (F.col("real_us") >= F.col("stamp")))
+
+    def iso(micros):
+        return F.concat(F.replace(times.from_micros(micros, True).cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+
+    stop = F.array_position(F.array(*[F.lit(s) for s in EVENT_STOPS]), F.col("event_type")).cast("string")
+    call = F.struct(
+        F.struct(F.concat(F.lit("a:"), stop, F.lit(":")).alias("value")).alias("StopPointRef"),
+        iso("us").alias("AimedDepartureTime"), iso("real_us").alias("ExpectedDepartureTime"),
+    )
+    letter = F.when(F.col("user_id") % 2 == 0, "E").otherwise("S")
+    mission = F.concat(letter, F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit("-"), F.col("user_id").cast("string"), F.lit("-"), F.col("day").cast("string"))
+    journeys = listed.groupBy("stamp", mission.alias("mission")).agg(F.collect_list(call).alias("calls")).select("stamp", F.struct(
+        F.array(F.struct(F.col("mission").alias("value"))).alias("VehicleJourneyName"),
+        F.struct(F.col("calls").alias("EstimatedCall")).alias("EstimatedCalls"),
+    ).alias("journey"))
+    frame = F.struct(F.collect_list("journey").alias("EstimatedVehicleJourney"))
+    delivery = F.struct(F.array(frame).alias("EstimatedJourneyVersionFrame"))
+    service = F.struct(F.array(delivery).alias("EstimatedTimetableDelivery"))
+    doc = F.to_json(F.struct(F.struct(service.alias("ServiceDelivery")).alias("Siri")))
+    return journeys.groupBy("stamp").agg(doc.alias("payload")).select("payload", F.timestamp_micros("stamp").alias("landed_at"))
+
+
 def siri_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """One feed payload per line of an order, as JSON text.
 

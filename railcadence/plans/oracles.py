@@ -204,6 +204,62 @@ firsts AS (
   FROM p GROUP BY ALL)"""
 
 
+# four snapshots a day; cycle by cycle from all rows seen so far
+_CYCLES = f"""
+WITH c AS (
+  SELECT user_id, event_type AS stop_key, CAST(ts AS DATE) AS day, max(ts) AS planned, arg_max(value, ts) AS late
+  FROM events GROUP BY ALL),
+listed AS (
+  SELECT CASE WHEN user_id % 2 = 0 THEN 'E' ELSE 'S' END || lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') AS type,
+         CASE WHEN user_id % 2 = 0 THEN 'Nord' ELSE 'Sud' END AS direction,
+         user_id || '-' || day AS mission, stop_key, day, CAST(day AS TIMESTAMP) + hour * INTERVAL 1 HOUR AS s, planned,
+         planned + to_microseconds(CAST(round(late * 1000000) AS BIGINT) * (k + 1)) AS re
+  FROM c, (VALUES (0, 9), (1, 12), (2, 15), (3, 18)) AS h(k, hour) WHERE user_id % 3 <= k),
+r AS (SELECT *, count(*) OVER (PARTITION BY s, mission) AS n FROM listed WHERE re >= s),
+p AS (SELECT * FROM r QUALIFY max(planned) OVER (PARTITION BY s, mission) >= s),
+cycles AS (SELECT DISTINCT day, s AS c_at FROM r),
+real_calls AS (
+  SELECT c_at, mission, direction, stop_key, max(re) AS t FROM cycles JOIN r ON r.day = cycles.day AND s <= c_at GROUP BY ALL),
+firsts AS (SELECT * FROM p QUALIFY s = min(s) OVER (PARTITION BY mission)),
+planned_calls AS (
+  SELECT c_at, mission, direction, stop_key, planned AS t FROM cycles JOIN firsts ON firsts.day = cycles.day AND s <= c_at),
+re AS (SELECT *, CAST(round((epoch_us(t) - epoch_us(lag(t) OVER (PARTITION BY c_at, direction, stop_key ORDER BY t, mission))) / 6e7) AS INTEGER) AS m FROM real_calls),
+th AS (SELECT *, CAST(round((epoch_us(t) - epoch_us(lag(t) OVER (PARTITION BY c_at, direction, stop_key ORDER BY t, mission))) / 6e7) AS INTEGER) AS m FROM planned_calls),
+pairs AS (
+  SELECT re.c_at, re.direction, re.stop_key,
+         CAST(greatest(0.0, (re.m - th.m) / CAST(th.m AS DOUBLE)) AS DECIMAL(28, 12)) AS excess
+  FROM re JOIN th ON re.c_at = th.c_at AND re.mission = th.mission AND re.stop_key = th.stop_key
+  WHERE re.m IS NOT NULL AND th.m > 0 AND re.t BETWEEN re.c_at AND re.c_at + INTERVAL 180 MINUTE),
+scores AS (SELECT epoch_us(c_at) AS as_of_us, direction, stop_key, {_SCORE} FROM pairs GROUP BY c_at, direction, stop_key),
+limits AS (SELECT type, max(n) AS most FROM p WHERE s = (SELECT min(q.s) FROM p q WHERE q.type = p.type) GROUP BY type),
+newest AS (
+  SELECT c_at, cycles.day, max(s) FILTER (kind = 'p') AS sp, max(s) FILTER (kind = 'r') AS sr
+  FROM cycles JOIN (SELECT day, s, 'p' AS kind FROM p UNION SELECT day, s, 'r' FROM r) x ON x.day = cycles.day AND s <= c_at
+  GROUP BY ALL),
+sides AS (
+  SELECT c_at, p.type, p.mission, p.direction, stop_key, n, planned, NULL AS real_t FROM newest JOIN p ON p.s = sp
+  UNION ALL SELECT c_at, r.type, r.mission, r.direction, stop_key, n, NULL, re FROM newest JOIN r ON r.s = sr),
+gaps AS (
+  SELECT c_at, mission, direction, stop_key, CAST(round((epoch_us(max(real_t)) - epoch_us(max(planned))) / 6e7) AS INTEGER) AS gap
+  FROM sides JOIN limits USING (type) WHERE n < most GROUP BY ALL),
+history AS (
+  SELECT c_at, CAST(c_at AS DATE) AS day, mission, direction, max(gap) AS g FROM gaps GROUP BY ALL HAVING max(gap) IS NOT NULL),
+stats AS (
+  SELECT epoch_us(c_at) AS as_of_us, direction, round(avg(greatest(0, g)), 9) AS ecart_moyen,
+         CAST(quantile_cont(greatest(0, g), 0.5) AS DOUBLE) AS ecart_median, max(greatest(0, g)) AS ecart_max
+  FROM history WHERE g < 30 GROUP BY c_at, direction),
+seen AS (
+  SELECT cycles.c_at, h.*, max(h_at) OVER (PARTITION BY cycles.c_at) AS last, min(h_at) OVER w AS first_at,
+         arg_min(h.g, h_at) OVER w AS first_g
+  FROM cycles JOIN (SELECT c_at AS h_at, * EXCLUDE (c_at) FROM history) h ON h.day = cycles.day AND h.h_at <= cycles.c_at
+  WINDOW w AS (PARTITION BY cycles.c_at, h.mission)),
+drifts AS (
+  SELECT epoch_us(c_at) AS as_of_us, direction,
+         round(CAST(sum(CAST((g - first_g) / CAST((epoch_us(h_at) - epoch_us(first_at)) // 60000000 + 1 AS DOUBLE) AS DECIMAL(28, 12))) AS DOUBLE)
+               / count(*), 9) AS moyenne_allongement
+  FROM seen WHERE h_at = last GROUP BY c_at, direction)"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "headway_planned": f"""WITH {_p()}, {_PLANNED_CALLS}
@@ -396,6 +452,10 @@ stats AS (
   FROM mission_gaps WHERE max_gap_min < 30 GROUP BY direction)
 -- a first cycle has no change yet
 SELECT *, 0.0::DOUBLE AS moyenne_allongement FROM wide JOIN stats USING (direction)""",
+        "replay_cycles": f"{_CYCLES} SELECT * FROM scores",
+        "stream_update_cycles": f"""{_CYCLES},
+wide AS (SELECT as_of_us, direction, {_WIDE} FROM scores GROUP BY ALL)
+SELECT * FROM wide FULL JOIN stats USING (as_of_us, direction) FULL JOIN drifts USING (as_of_us, direction)""",
         "mon_p95": _quantile_sql(),
         "mon_rate": f"""WITH w AS ({_panes('event_type,', 'count(*) AS n')})
 SELECT window_start, event_type, n / 300.0::DOUBLE AS per_second FROM w""",

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from railcadence.functions import text, times
 from railcadence.operators import (
-    clean, drift, gaps, headway, latest, load, monitor, quality, reference, regularity, reshape, serve, trips,
+    clean, drift, gaps, headway, latest, load, monitor, quality, reference, regularity, replay, reshape, serve, trips,
 )
 from railcadence.plans import adapters as A, cycle
-from railcadence.session import work_dir
+from railcadence.session import work_dir, work_tables
 from railcadence.sinks import tables as sink
 from railcadence.sources import feed, snapshots
-from railcadence.streaming import state
+from railcadence.streaming import feed as live, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -449,6 +449,49 @@ def update_cycle(spark, d):
     )
 
 
+CYCLE_HORIZON_MIN = 180
+
+
+def replay_cycles(spark, d):
+    """Scores of every cycle of every day, each from what was known then, in one pass."""
+    events = A.table(spark, d, "events")
+    folder = work_dir(spark, "replay")
+    parsed = feed.parse_siri(A.cycle_payloads(events), A.event_stop_list(events))
+    clean.clean_passages(parsed, F.col("observed_at")).write.parquet(f"{folder}/passages")
+    passages = spark.read.parquet(f"{folder}/passages")
+    cycles = passages.select("service_date", F.unix_micros("observed_at").alias("as_of_us")).distinct()
+    with work_tables(spark, "cycles") as keep:
+        scores = replay.replay_scores(passages, cycles, A.EVENT_STOPS, keep, CYCLE_HORIZON_MIN)
+        scores.write.parquet(f"{folder}/scores")
+    return spark.read.parquet(f"{folder}/scores").drop("service_date")
+
+
+def stream_update_cycles(spark, d):
+    """The feed as a stream of several micro-batches: all histories of all cycles. Days reach over
+    batches, so first gaps and known times come from earlier ones."""
+    events = A.table(spark, d, "events")
+    folder = work_dir(spark, "feed")
+    hours = F.unix_micros("landed_at") / F.lit(3_600e6)
+    A.cycle_payloads(events).withColumn("part", F.floor((hours + 12) / 240).cast("bigint")).write.partitionBy("part").parquet(f"{folder}/payloads")
+    landed = spark.read.parquet(f"{folder}/payloads")
+    for part in sorted(r[0] for r in landed.select("part").distinct().collect()):  # one file per ten days
+        landed.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+    source = spark.readStream.schema("payload string, landed_at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
+    tables = cycle.Tables(f"{folder}/tables")
+    live.run_feed(
+        spark, source, A.event_stop_list(events), tables, f"{folder}/checkpoint", STOPS, {"availableNow": True}, CYCLE_HORIZON_MIN
+    ).awaitTermination()
+    key = ["as_of_us", "direction"]
+
+    def history(path, stamp, *columns):
+        return sink.read_history(spark, path).select(F.unix_micros(stamp).alias("as_of_us"), "direction", *columns)
+
+    scores = history(tables.scores, "date_observation", *[f"score_{s}" for s in A.EVENT_STOPS])
+    stats = history(tables.gap_stats, "date_observation", F.round("ecart_moyen", 9).alias("ecart_moyen"), "ecart_median", "ecart_max")
+    drifts = history(tables.drift_stats, "date_calcul", F.round("moyenne_allongement", 9).alias("moyenne_allongement"))
+    return scores.join(stats, key, "full").join(drifts, key, "full")
+
+
 # ---------------------------------------------------------------------- monitoring
 def _events(spark, d):
     return A.table(spark, d, "events").select("ts", "event_id", "user_id", "event_type", "value")
@@ -531,7 +574,7 @@ def all_queries() -> dict[str, Query]:
         latest_rows_per_user, trip_summary, calls_pivot_wide, calls_unpivot,
         siri_parse, json_props, csv_rows, csv_rejects, csv_roundtrip, normalize_key, try_parse_times,
         latest_two, latest_per_direction, last_update, kpi_cards, gap_cards, drift_cards,
-        quality_checks, history_roundtrip, update_cycle,
+        quality_checks, history_roundtrip, update_cycle, replay_cycles, stream_update_cycles,
         mon_p95, mon_rate, mon_error_pct, mon_counter_rate, mon_gauge,
         stream_tumbling, stream_first_planned, stream_last_real, stream_foreach_scores,
     ]
