@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,11 +45,12 @@ def clean_counters(
     name: str = "mission",
     ends_at: str = "ends_at",
     prefix: str = S.DUPLICATE_PREFIX,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row: trips read, dropped by each rule (name first), kept. One pass."""
+    """One row (per ``by``): trips read, dropped by each rule (name first), kept. One pass."""
     dup = is_duplicate_name(F.col(name), prefix)
     over = is_finished(F.col(ends_at), times.literal_like(trips, ends_at, as_of))
-    return trips.agg(
+    return trips.groupBy(*by).agg(
         F.count("*").alias("n_read"),
         F.count_if(dup).alias("n_prefixed"),
         F.count_if(~dup & over).alias("n_finished"),

@@ -39,6 +39,10 @@ class Tables:
     def ledger(self) -> str:
         return self.path("fichiers_charges")
 
+    @property
+    def rejects(self) -> str:
+        return self.path("lignes_rejetees")
+
     @property
     def reference(self) -> str:
         return self.path("missions_ref")
@@ -80,14 +84,16 @@ def load_new_snapshots(
     """Load landed snapshot files that the ledger does not list and list them there.
 
     With ``newest_only`` the newest file of each kind is taken, else all new ones.
-    Returns the rejected lines. The ledger is written last: after a failure the
-    same cycle loads the same files again and replaces what it had written.
+    The ledger tells for every file how many records were unreadable, named as
+    duplicates, finished and loaded. Returns the rejected lines, which are kept as well.
+    Files are parsed once; the ledger is written last: after a failure the same cycle
+    loads the same files again and replaces what it had written.
     """
     files = snapshots.list_files(spark, landing)
     ledger = T.read_history(spark, tables.ledger)
     if ledger is not None:  # rows of a failed attempt at this cycle do not count
         ledger = ledger.where(F.col("cycle") < cycle)
-    loaded, rejects = [], []
+    parsed, taken = [], []
     for kind, prefix in S.SNAPSHOT_PREFIX.items():
         named = files.where(F.col("file_name").rlike(snapshots.snapshot_pattern(prefix)))
         wanted = load.files_to_load(snapshots.latest_snapshot(named, prefix) if newest_only else named, ledger)
@@ -100,16 +106,26 @@ def load_new_snapshots(
             records = snapshots.read_records(spark, landing).join(
                 wanted.select("file_name").distinct(), "file_name", "left_semi"
             )
-        rows, bad = snapshots.snapshot_rows(records)
-        loaded.append((snapshots.snapshot_passages(rows, kind), wanted))
-        rejects.append(bad)
-    if not loaded:
+        parsed.append(snapshots.parsed_records(records).withColumn("kind", F.lit(kind)))
+        taken.append(wanted.select("file_name"))
+    if not parsed:
+        return spark.createDataFrame([], "file_name string, line string")
+    with work_tables(spark, "load") as keep:
+        records = keep(reduce(DataFrame.unionByName, parsed), "records")
+        good = records.where("not rejected")
+        passages = reduce(DataFrame.unionByName, [
+            snapshots.snapshot_passages(good.where(F.col("kind") == kind), kind, "file_name") for kind in S.SNAPSHOT_PREFIX
+        ])
+        load_passages(passages.drop("file_name"), tables, as_of, cycle)
+        bad = records.where("rejected").select("file_name", "line")
+        T.append_history(bad, tables.rejects, cycle)
+        loaded = keep(reduce(DataFrame.unionByName, taken).distinct(), "files")
+        trip_rows = passages.where("call_pos = 0").select("file_name", "mission", "ends_at")
+        T.append_history(load.counted_ledger_rows(loaded, trip_rows, bad, as_of), tables.ledger, cycle)
+    rejects = T.read_history(spark, tables.rejects)
+    if rejects is None or "cycle" not in rejects.columns:
         return spark.createDataFrame([], "file_name string, line string")
-    passages = reduce(DataFrame.unionByName, [p for p, _ in loaded])
-    load_passages(passages, tables, as_of, cycle)
-    taken = reduce(DataFrame.unionByName, [w.select("file_name") for _, w in loaded])
-    T.append_history(load.ledger_rows(taken, as_of), tables.ledger, cycle)
-    return reduce(DataFrame.unionByName, rejects)
+    return rejects.where(F.col("cycle").cast("string") == str(cycle)).select("file_name", "line")
 
 
 def update_reference(spark: SparkSession, tables: Tables, passages: DataFrame, cycle: int) -> DataFrame:

@@ -456,6 +456,26 @@ SELECT *, 0.0::DOUBLE AS moyenne_allongement FROM wide JOIN stats USING (directi
         "stream_update_cycles": f"""{_CYCLES},
 wide AS (SELECT as_of_us, direction, {_WIDE} FROM scores GROUP BY ALL)
 SELECT * FROM wide FULL JOIN stats USING (as_of_us, direction) FULL JOIN drifts USING (as_of_us, direction)""",
+        "load_new_files": """
+WITH rows AS (
+  SELECT prefix || '_2024010' || (CASE WHEN day(ts) > 15 THEN 2 ELSE 1 END) || '_000000.csv' AS file_name, event_type, day(ts) > 15 AS late,
+         CASE WHEN prefix = 'horaires_reels' THEN ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)) ELSE ts END AS t
+  FROM events, (VALUES ('horaires_theoriques'), ('horaires_reels')) p(prefix)),
+kept AS (SELECT late, count(*) AS n FROM rows WHERE event_type NOT IN ('error', 'signup') AND t >= TIMESTAMP '2024-01-11' GROUP BY late)
+SELECT file_name, count(*) FILTER (event_type = 'error') AS n_bad, count(*) FILTER (event_type = 'signup') AS n_prefixed,
+       count(*) FILTER (event_type NOT IN ('error', 'signup') AND t < TIMESTAMP '2024-01-11') AS n_finished,
+       count(*) FILTER (event_type NOT IN ('error', 'signup') AND t >= TIMESTAMP '2024-01-11') AS n_loaded,
+       coalesce(any_value(n), 0) AS n_passages
+FROM rows LEFT JOIN kept USING (late) GROUP BY file_name""",
+        "archive_day": f"""{_DAILY},
+d AS (SELECT *, CAST(date_observation AS DATE) = (SELECT min(CAST(date_observation AS DATE)) FROM served) AS closed FROM served),
+places AS (
+  SELECT 'hist_moyenne_ecarts' AS name, 'table' AS place, direction FROM d
+  UNION ALL SELECT 'passages', 'table', direction FROM d WHERE NOT closed
+  UNION ALL SELECT 'passages', 'archive', direction FROM d WHERE closed
+  UNION ALL SELECT 'passages', 'archive', direction FROM d WHERE closed AND direction = 'Nord'
+  UNION ALL SELECT 'hist_moyenne_ecarts', 'archive', direction FROM d, (VALUES (1), (2)) WHERE closed)
+SELECT name, place, direction, count(*) AS n FROM places GROUP BY ALL""",
         "mon_p95": _quantile_sql(),
         "mon_rate": f"""WITH w AS ({_panes('event_type,', 'count(*) AS n')})
 SELECT window_start, event_type, n / 300.0::DOUBLE AS per_second FROM w""",

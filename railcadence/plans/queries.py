@@ -492,6 +492,57 @@ def stream_update_cycles(spark, d):
     return scores.join(stats, key, "full").join(drifts, key, "full")
 
 
+LOAD_AS_OF = "2024-01-11 00:00:00Z"
+_HEADER = "mission,type_mission,destination,Antony,gare_depart,nb_arrets_desservis,date_observation"
+
+
+def _landed(spark, d, folder, prefix, half):
+    """Half a month of events as one snapshot: signups are named as duplicates, errors have a field too many."""
+    t = F.col("ts") if prefix == "horaires_theoriques" else F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("value").cast("decimal(18,6)"))
+    iso = F.concat(F.replace(t.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    name = F.concat(F.when(F.col("event_type") == "signup", "RATP").otherwise("M"), F.col("event_id").cast("string"))
+    line = F.concat_ws(",", name, F.lit("MISS"), F.lit("x"), iso, F.lit("Antony"), F.lit("1"), F.lit("2024-01-01T00:00:00Z"))
+    line = F.when(F.col("event_type") == "error", F.concat(line, F.lit(",y"))).otherwise(line)
+    events = A.table(spark, d, "events").where((F.dayofmonth("ts") > 15) == F.lit(half == 1))
+    # whole lines: the separator occurs in none of them
+    writer = events.select(line.alias(_HEADER)).write.option("header", True).option("sep", "\u0001")
+    writer.csv(f"{folder}/{prefix}_2024010{half + 1}_000000.csv")
+
+
+def load_new_files(spark, d):
+    """Snapshots land twice and are loaded twice, with the first load repeated as after a failure; the ledger."""
+    folder = work_dir(spark, "load")
+    tables = cycle.Tables(f"{folder}/tables")
+    for half in (0, 1):
+        for prefix in ("horaires_theoriques", "horaires_reels"):
+            _landed(spark, d, f"{folder}/landing", prefix, half)
+        for _ in range(2 - half):
+            cycle.load_new_snapshots(spark, f"{folder}/landing", tables, LOAD_AS_OF, half, newest_only=False)
+    ledger = sink.read_history(spark, tables.ledger)
+    n_rows = sink.read_history(spark, tables.passages).groupBy("cycle").agg(F.count("*").alias("n_passages"))
+    return ledger.join(n_rows, "cycle", "left").select(
+        "file_name", "n_bad", "n_prefixed", "n_finished", "n_loaded", F.coalesce("n_passages", F.lit(0)).alias("n_passages")
+    )
+
+
+def archive_day(spark, d):
+    """Daily gap statistics as a kept and a working table; a day is closed, gets a late row and is closed again."""
+    folder = work_dir(spark, "archive")
+    rows = _served_gaps(spark, d).withColumn("service_date", F.to_date("date_observation"))
+    tables = {"hist_moyenne_ecarts": f"{folder}/kept", "passages": f"{folder}/working"}
+    for path in tables.values():
+        sink.append_history(rows, path, 0, partition_by=["service_date"])
+    day = str(rows.agg(F.min("service_date")).first()[0])
+    sink.archive_and_retain(spark, tables, f"{folder}/archive", day)
+    sink.append_history(rows.where(F.col("service_date").cast("string") == day).where("direction = 'Nord'"), tables["passages"], 1, ["service_date"])
+    sink.archive_and_retain(spark, tables, f"{folder}/archive", day)
+    left = [sink.read_history(spark, path).select(F.lit(name).alias("name"), F.lit("table").alias("place"), "direction") for name, path in tables.items()]
+    out = [spark.read.option("header", True).option("recursiveFileLookup", "true").csv(f"{folder}/archive/{name}").select(
+        F.lit(name).alias("name"), F.lit("archive").alias("place"), "direction") for name in tables]
+    both = left[0].unionByName(left[1]).unionByName(out[0]).unionByName(out[1])
+    return both.groupBy("name", "place", "direction").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------------- monitoring
 def _events(spark, d):
     return A.table(spark, d, "events").select("ts", "event_id", "user_id", "event_type", "value")
@@ -574,7 +625,7 @@ def all_queries() -> dict[str, Query]:
         latest_rows_per_user, trip_summary, calls_pivot_wide, calls_unpivot,
         siri_parse, json_props, csv_rows, csv_rejects, csv_roundtrip, normalize_key, try_parse_times,
         latest_two, latest_per_direction, last_update, kpi_cards, gap_cards, drift_cards,
-        quality_checks, history_roundtrip, update_cycle, replay_cycles, stream_update_cycles,
+        quality_checks, history_roundtrip, update_cycle, replay_cycles, stream_update_cycles, load_new_files, archive_day,
         mon_p95, mon_rate, mon_error_pct, mon_counter_rate, mon_gauge,
         stream_tumbling, stream_first_planned, stream_last_real, stream_foreach_scores,
     ]

@@ -6,9 +6,10 @@ Tables are Parquet folders on storage all executors share.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 KEEP_PREFIX = "hist_moyenne_"
 
@@ -152,29 +153,86 @@ def archive_and_retain(
 
     ``tables`` maps names to paths. Tables partitioned by service_date lose that
     partition only, other ones go whole; names with ``keep_prefix`` lose nothing.
-    A table is dropped only after its export holds as many rows as it does.
     Returns rows exported per table.
+
+    The exports count once a manifest of their rows and checksums is in place, put there by
+    a rename; nothing is dropped before. The counts come from the write itself, the check of
+    the written files reads them once. A run that ends anywhere can be repeated: with a
+    manifest it goes on dropping, without one it exports again. A table that has changed
+    since its export is exported again, beside what was archived of it before.
     """
-    exported = {}
+    manifest = _manifest(spark, archive, service_date)
+    if manifest is None:
+        manifest = _export(spark, tables, archive, service_date)
+        _write_text(spark, f"{_manifest_path(archive, service_date)}.open", json.dumps(manifest))
+    for name, entry in manifest["tables"].items():
+        if name.startswith(keep_prefix) or not exists(spark, entry["source"]):
+            continue
+        if _size(spark, entry["source"]) != entry["size"]:
+            _delete(spark, f"{_manifest_path(archive, service_date)}.open")
+            raise RuntimeError(f"{name} has changed since its export; close {service_date} again")
+        _delete(spark, entry["source"])
+    done, n = f"{_manifest_path(archive, service_date)}.done", manifest["run"]
+    _fs(spark, done).rename(_path(spark, f"{_manifest_path(archive, service_date)}.open"), _path(spark, f"{done}-{n}"))
+    return {name: entry["rows"] for name, entry in manifest["tables"].items()}
+
+
+def _manifest_path(archive: str, service_date: str) -> str:
+    return f"{archive}/_manifests/{service_date}"
+
+
+def _manifest(spark: SparkSession, archive: str, service_date: str) -> dict | None:
+    path = f"{_manifest_path(archive, service_date)}.open"
+    if not exists(spark, path):
+        return None
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is either whole or absent."""
+    fs, part = _fs(spark, path), f"{path}.tmp"
+    out = fs.create(_path(spark, part), True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if not fs.rename(_path(spark, part), _path(spark, path)):
+        raise RuntimeError(f"{path} could not be put in place")
+
+
+def _size(spark: SparkSession, path: str) -> list[int]:
+    summary = _fs(spark, path).getContentSummary(_path(spark, path))
+    return [summary.getFileCount(), summary.getLength()]
+
+
+def _checksum(columns: Sequence[str]) -> Column:
+    """Of rows as text, in any order."""
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]
+    return F.coalesce(F.sum(F.xxhash64(*texts).cast("decimal(38,0)")), F.lit(0)).cast("string")
+
+
+def _export(spark: SparkSession, tables: Mapping[str, str], archive: str, service_date: str) -> dict:
+    before = [c for c in _children(spark, f"{archive}/_manifests") if c.startswith(f"{service_date}.done-")]
+    run, entries = len(before), {}
     for name, path in tables.items():
         if not exists(spark, path):
             continue
         part = f"{path}/service_date={service_date}"
-        by_day = any(c.startswith("service_date=") for c in _children(spark, path))
-        source = part if by_day else path
+        source = part if any(c.startswith("service_date=") for c in _children(spark, path)) else path
         if not exists(spark, source):
             continue
+        size = _size(spark, source)
         df = spark.read.parquet(source)
-        target = f"{archive}/{name}/service_date={service_date}"
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(target)
-        n = df.count()
-        written = spark.read.schema(_as_text(df)).option("header", True).option("escape", '"').csv(target).count()
-        if written != n:
-            raise RuntimeError(f"{name}: {n} rows in the table, {written} in its export")
-        exported[name] = n
-        if not name.startswith(keep_prefix):
-            _delete(spark, source)
-    return exported
+        df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+        target = f"{archive}/{name}/service_date={service_date}" + (f"/run={run}" if run else "")
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), _checksum(df.columns).alias("checksum")).write.mode("overwrite").option(
+            "header", True).option("escape", '"').csv(target)
+        wanted = seen.get
+        back = spark.read.schema(_as_text(df)).option("header", True).option("escape", '"').option("multiLine", True).csv(target)
+        written = back.agg(F.count(F.lit(1)).alias("rows"), _checksum(df.columns).alias("checksum")).first().asDict()
+        if written != wanted:
+            raise RuntimeError(f"{name}: {wanted} in the table, {written} in its export")
+        entries[name] = {"rows": wanted["rows"], "checksum": wanted["checksum"], "source": source, "size": size, "export": target}
+    return {"service_date": service_date, "run": run, "tables": entries}
 
 
 def _as_text(df: DataFrame) -> str:

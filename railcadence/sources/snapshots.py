@@ -100,20 +100,9 @@ def csv_fields(line: Column) -> Column:
     return F.when(line.contains('"'), quoted).otherwise(F.split(line, ",", -1))
 
 
-def snapshot_rows(
-    records: DataFrame, columns: Sequence[str] = S.SNAPSHOT_META
-) -> tuple[DataFrame, DataFrame]:
-    """Records to (rows, rejects).
-
-    Files differ in their columns (only served stops are listed), so each record
-    carries the header of its own file. Records with more fields than their header
-    are rejected; missing fields at the end count as empty.
-
-    rows     file_name, the listed ``columns`` as text, stops array<(column, value, key)>
-    rejects  file_name, line
-    """
+def parsed_records(records: DataFrame, columns: Sequence[str] = S.SNAPSHOT_META) -> DataFrame:
+    """Records to file_name, line, rejected, the listed ``columns`` as text, stops; see :func:`snapshot_rows`."""
     matched = records.withColumn("fields", csv_fields(F.col("line")))
-    too_many = F.size("fields") > F.size("header")
 
     def field(i: Column) -> Column:
         value = F.get(F.col("fields"), i)
@@ -127,8 +116,26 @@ def snapshot_rows(
         h.alias("column"), field(i).alias("value"), F.get("keys", i).alias("key")
     ))
     stops = F.filter(entries, lambda p: ~p["column"].isin(*columns))
-    rows = matched.where(~too_many).select("file_name", *[named(c) for c in columns], stops.alias("stops"))
-    return rows, matched.where(too_many).select("file_name", "line")
+    return matched.select(
+        "file_name", "line", (F.size("fields") > F.size("header")).alias("rejected"), *[named(c) for c in columns], stops.alias("stops")
+    )
+
+
+def snapshot_rows(
+    records: DataFrame, columns: Sequence[str] = S.SNAPSHOT_META
+) -> tuple[DataFrame, DataFrame]:
+    """Records to (rows, rejects).
+
+    Files differ in their columns (only served stops are listed), so each record
+    carries the header of its own file. Records with more fields than their header
+    are rejected; missing fields at the end count as empty.
+
+    rows     file_name, the listed ``columns`` as text, stops array<(column, value, key)>
+    rejects  file_name, line
+    """
+    parsed = parsed_records(records, columns)
+    rejects = parsed.where("rejected").select("file_name", "line")
+    return parsed.where("not rejected").drop("line", "rejected"), rejects
 
 
 def read_snapshot_csv(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
@@ -136,8 +143,8 @@ def read_snapshot_csv(spark: SparkSession, path: str | list[str]) -> tuple[DataF
     return snapshot_rows(read_records(spark, path))
 
 
-def snapshot_passages(rows: DataFrame, kind: str) -> DataFrame:
-    """Snapshot rows to passages, one per stop with a readable time.
+def snapshot_passages(rows: DataFrame, kind: str, *more: str) -> DataFrame:
+    """Snapshot rows to passages, one per stop with a readable time; ``more`` columns are kept.
 
     Trips without any time stay as one row without a stop.
     """
@@ -168,6 +175,7 @@ def snapshot_passages(rows: DataFrame, kind: str) -> DataFrame:
         F.array_max(F.col("timed.t")).alias("ends_at"),
         observed_at.alias("observed_at"),
         F.to_date(observed_at).alias("service_date"),
+        *more,
     )
 
 

@@ -218,7 +218,11 @@ def test_snapshot_files_load_once(spark, tmp_path, root):
     put("horaires_reels_20260415_081000.csv", 3, "NEW002")
     C.load_new_snapshots(spark, str(landing), tables, as_of, 2, newest_only=False)
     assert loaded() == [("KALI72", "planned"), ("KALI72", "real"), ("NEW002", "real"), ("OLD001", "planned")]
-    assert T.read_history(spark, tables.ledger).count() == 4
+    ledger = T.read_history(spark, tables.ledger)
+    assert {tuple(r) for r in ledger.select("file_name", "n_bad", "n_prefixed", "n_finished", "n_loaded").collect()} == {
+        ("horaires_theoriques_20260415_080500.csv", 1, 1, 0, 1), ("horaires_reels_20260415_080500.csv", 0, 0, 0, 1),
+        ("horaires_theoriques_20260415_080000.csv", 0, 0, 0, 1), ("horaires_reels_20260415_081000.csv", 0, 0, 0, 1),
+    }
 
 
 def test_streamed_state_over_several_batches_equals_batch(spark, root, tmp_path, rows):
@@ -240,6 +244,44 @@ def test_streamed_state_over_several_batches_equals_batch(spark, root, tmp_path,
         assert spark.read.parquet(f"{root}/{name}").select("cycle").distinct().count() >= 5
 
 
+def test_a_closed_day_is_resumed_and_late_rows_are_kept(spark, root, monkeypatch):
+    day = "2026-04-17"
+    data = spark.createDataFrame([(day, "a\nb"), (day, None), (day, ""), ("2026-04-18", "c")], "service_date string, v string").withColumn(
+        "service_date", F.col("service_date").cast("date"))
+    tables = {n: f"{root}/{n}" for n in ("passages", "gaps")}
+    for path in tables.values():
+        T.append_history(data, path, 0, ["service_date"])
+    archive, delete = f"{root}/archive", T._delete
+
+    def killed(session, path):
+        if path.startswith(tables["passages"]):
+            raise KeyboardInterrupt
+        delete(session, path)
+
+    monkeypatch.setattr(T, "_delete", killed)
+    with pytest.raises(KeyboardInterrupt):  # ends between export and drop
+        T.archive_and_retain(spark, tables, archive, day)
+    assert all(T.read_history(spark, p).count() == 4 for p in tables.values())
+    monkeypatch.setattr(T, "_delete", delete)
+    monkeypatch.setattr(T, "_export", lambda *a: pytest.fail("exported twice"))
+    assert T.archive_and_retain(spark, tables, archive, day) == {"passages": 3, "gaps": 3}
+    monkeypatch.undo()
+    assert all(T.read_history(spark, p).count() == 1 for p in tables.values())
+
+    late = data.where("v IS NULL")
+    T.append_history(late, tables["gaps"], 1, ["service_date"])
+    assert T.archive_and_retain(spark, tables, archive, day) == {"gaps": 1}
+    read = spark.read.option("header", True).option("multiLine", True).option("recursiveFileLookup", "true").csv(f"{archive}/gaps")
+    assert read.count() == 4  # nothing of the first export is gone
+
+    T.append_history(late, tables["gaps"], 2, ["service_date"])
+    sizes = T._size
+    monkeypatch.setattr(T, "_size", lambda s, p: [*sizes(s, p), len(T._children(s, f"{archive}/_manifests")) % 2])
+    with pytest.raises(RuntimeError, match="changed since"):  # rows that came in between aren't dropped
+        T.archive_and_retain(spark, tables, archive, day)
+    assert T.read_history(spark, tables["gaps"]).count() == 2
+
+
 def test_read_files_move_to_the_archive(spark, tmp_path, root):
     landing, archive = tmp_path / "in", tmp_path / "out"
     landing.mkdir()
