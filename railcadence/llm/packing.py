@@ -32,6 +32,11 @@ OUT_TOKENS = 1_000_000
 
 #: Byte-level pre-tokenisers start a new word at a space before a non-space.
 _START = re.compile(r" (?=\S)")
+#: Unicode's white space. Python's ``\s`` has some control characters more.
+_WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The pre-tokeniser's look-ahead keeps a state per character of such a run, up to a limit.
+LONG_RUN = 100_000
+_LONG_SPACE = re.compile(f"[{_WHITE}]{{{LONG_RUN},}}")
 
 
 class Encoder:
@@ -44,11 +49,22 @@ class Encoder:
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.ids = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.ids, self.piece_ids = encoding.encode_ordinary, encoding._encode_single_piece
 
     def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        return b"".join([np.array(self.ids(chunk), dtype="<u4").tobytes() for chunk in _chunks(text)])
+        """Little-endian unsigned 32-bit ids.
+
+        A run of white space is one word of the pre-tokeniser, but for its last character if
+        anything follows, which belongs to the next word. Very long runs are cut out there.
+        """
+        out, at = [], 0
+        for m in _LONG_SPACE.finditer(text):
+            out += [self.ids(chunk) for chunk in _chunks(text[at : m.start()])]
+            at = m.end() if m.end() == len(text) else m.end() - 1
+            out.append(self.piece_ids(text[m.start() : at]))
+        out += [self.ids(chunk) for chunk in _chunks(text[at:] if at else text)]
+        return b"".join([np.array(ids, dtype="<u4").tobytes() for ids in out])
 
 
 def _chunks(text: str) -> Iterator[str]:
