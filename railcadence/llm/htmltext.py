@@ -1,13 +1,19 @@
 """Main text of a web page by composite text density.
 
-Of the page's tree, menus, headers, footers, sidebars, notices, adverts, forms, scripts and
-reader comments are cut off by their tags, roles and class names. For every node left,
-the density is its characters per tag, adjusted by the share of link text; a node's
-children's densities are summed. The node with the largest sum is the centre of the text,
-the least density on its path up to the top the threshold. The highest node on that path
-that reaches it is the top itself, so the whole page is written, direct text included. Left
-out are unmarked menus only: at least ``MENU_LINKS`` links and no other text, below the
-threshold, neither in the centre or an article nor around one of them.
+What says plainly that it is boilerplate is cut off first: tags such as ``nav`` or ``script``,
+roles, and class names or ids made of such words alone (``cookie-notice``, not ``share-price``).
+For every node left, the density is its characters per tag, adjusted by the share of link
+text; a node's children's densities are summed. The node with the largest sum is the centre
+of the text, the least density on its path up to the top the threshold. On that path the
+whole page is written, direct text included, but for blocks beside the text that stay below
+the threshold:
+
+* where the centre lies in an ``article`` or ``main``, or around some, all blocks without a
+  heading outside of them;
+* elsewhere, blocks with a doubtful name (``share-price``), and blocks of links alone, unless
+  these hold paragraphs.
+
+Links that follow the text at once, as a list of sources does, stay. Nothing inside an article, or inside the centre, goes by its density.
 
 Defined results: NULL and empty pages have empty text, text outside any tag is a block,
 unclosed and crossing tags are closed where HTML closes them or where their parent ends,
@@ -41,8 +47,12 @@ DROPPED_NAMES = frozenset(
     "related recommended recommendations newsletter subscribe subscription signup login search pagination pager popup modal "
     "overlay widget widgets skip toolbar paywall disclaimer".split()
 )
-#: Links of an unmarked menu, at least.
-MENU_LINKS = 3
+#: Words that say nothing about a block beside one of those above: ``site-footer``, ``ad-slot-2``.
+NEUTRAL_NAMES = frozenset(
+    "site page main global top bottom left right upper lower inner outer primary secondary block box list item items section area "
+    "wrap wrapper container content inline slot unit bar panel pane col column row grid group post article articles story stories "
+    "user users reader readers form button buttons link links text title header head icon icons js ui sticky fixed desktop mobile".split()
+)
 #: Headers of a page go, headers within the article hold its title.
 HEADER_NAMES = frozenset(("header", "topbar"))
 NEVER_DROPPED = frozenset(("html", "body", "main", "article"))
@@ -53,15 +63,20 @@ _CLOSES = {
     "td": ("td", {"tr", "table"}), "th": ("th", {"tr", "table"}), "option": ("option", {"select"}),
 }
 _SCOPES = frozenset("html body table td th caption article section div main aside header footer nav blockquote li dd".split())
-_NAME = re.compile(r"[^a-z0-9]+")
+_NAME = re.compile(r"[^a-z]+")
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+_TEXTS = ("article", "main")
 
 
 class Node:
-    __slots__ = ("best", "chars", "children", "density", "link_chars", "link_tags", "links", "parent", "sum", "tag", "tags")
-
-    def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children = tag, parent, []
-        self.chars = self.link_chars = self.tags = self.link_tags = self.links = 0
+    __slots__ = (
+        "best", "chars", "children", "density", "doubtful", "headings", "link_chars", "link_tags", "paragraphs", "parent", "sum", "tag", "tags",
+    )
+
+    def __init__(self, tag: str, parent: Node | None, doubtful: bool = False):
+        self.tag, self.parent, self.children, self.doubtful = tag, parent, [], doubtful
+        self.chars = self.link_chars = self.tags = self.link_tags = 0
+        self.headings, self.paragraphs = int(tag in _HEADINGS), int(tag == "p")
         self.density = self.sum = 0.0
         self.best = self
 
@@ -77,8 +92,8 @@ class _Builder(HTMLParser):
         self.open: dict[str, int] = {}
         self.dropped = 0  # depth of the stack where dropping began
 
-    def _push(self, tag: str, kept: bool) -> None:
-        node = Node(tag, self.stack[-1])
+    def _push(self, tag: str, kept: bool, doubtful: bool = False) -> None:
+        node = Node(tag, self.stack[-1], doubtful)
         if kept:
             self.stack[-1].children.append(node)
             self.nodes.append(node)
@@ -102,23 +117,25 @@ class _Builder(HTMLParser):
             if here in limits:
                 return
 
-    def _goes(self, tag: str, attrs: dict[str, str]) -> bool:
+    def _named(self, tag: str, attrs: dict[str, str]) -> tuple[bool, bool]:
+        """Whether an element is boilerplate by its tag, role or name, and whether it may be."""
         if tag in NEVER_DROPPED:
-            return False
+            return False, False
         inside = self.open.get("article") or self.open.get("main")
         if tag in DROPPED or tag == "header" and not inside:
-            return True
+            return True, False
         if attrs.get("role", "").lower() in DROPPED_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
+            return True, False
         if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "")):
-            return True
-        for value in (attrs.get("class", ""), attrs.get("id", "")):
-            for name in value.lower().split():
-                parts = _NAME.split(name)
-                if {"has", "no", "with", "without"}.isdisjoint(parts):
-                    if not DROPPED_NAMES.isdisjoint(parts) or not inside and not HEADER_NAMES.isdisjoint(parts):
-                        return True
-        return False
+            return True, False
+        doubtful = False
+        for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
+            parts = {x for x in _NAME.split(name) if x}
+            told = parts & (DROPPED_NAMES if inside else DROPPED_NAMES | HEADER_NAMES)
+            if told and told | NEUTRAL_NAMES >= parts:
+                return True, False
+            doubtful |= bool(told)
+        return False, doubtful
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _P_ENDS:
@@ -141,8 +158,8 @@ class _Builder(HTMLParser):
                 self.stack[-1].children.append(Node(tag, self.stack[-1]))
                 self.nodes.append(self.stack[-1].children[-1])
             return
-        goes = self._goes(tag, {k: v or "" for k, v in attrs})
-        self._push(tag, not goes)
+        goes, doubtful = self._named(tag, {k: v or "" for k, v in attrs})
+        self._push(tag, not goes, doubtful)
         if goes:
             self.dropped = len(self.stack)
 
@@ -169,7 +186,8 @@ def _measure(nodes: list[Node], top: Node) -> None:
                 node.tags += child.tags + 1
                 node.link_chars += child.link_chars
                 node.link_tags += child.link_tags + (child.tag == "a")
-                node.links += child.links + (child.tag == "a" and child.chars > 0)
+                node.headings += child.headings
+                node.paragraphs += child.paragraphs
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags
     share = top.link_chars / top.chars if top.chars else 0.0
@@ -208,33 +226,59 @@ def _blocks(top: Node) -> Iterator[str]:
             todo += reversed(x.children)
 
 
-def _cut_menus(nodes: list[Node], top: Node) -> None:
-    """Takes the unmarked menus out of the tree."""
+def _path(node: Node) -> Iterator[Node]:
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def _following(node: Node) -> Node | None:
+    """The sibling that follows a node with no text between them."""
+    rest = iter(node.parent.children if node.parent else ())
+    for x in rest:
+        if x is node:
+            break
+    for x in rest:
+        if x.strip() if isinstance(x, str) else x.chars:
+            return x if isinstance(x, Node) else None
+    return None
+
+
+def _cut_sparse(nodes: list[Node], top: Node) -> None:
+    """Takes the blocks beside the text that are below the threshold out of the tree."""
     if top.link_chars == top.chars:
         return  # a page of links is no menu beside a text
-    centre = top.best
-    whole = [centre, *(n for n in nodes if n.tag in ("article", "main"))]
-    threshold, node = centre.density, centre
-    while node is not None:
-        threshold, node = min(threshold, node.density), node.parent
-    held = {id(n) for n in whole}
-    around: set[int] = set()
-    for node in whole:
-        while node is not None and id(node) not in around:
-            around.add(id(node))
-            node = node.parent
+    path = list(_path(top.best))
+    threshold = min(n.density for n in path)
+    on_path = {id(n) for n in path}
+    held = {id(n) for n in nodes if n.tag in _TEXTS and n.chars}
+    around: set[int] = set()  # articles and what is above them
+    for node in nodes:
+        for x in _path(node) if id(node) in held else ():
+            if id(x) in around:
+                break
+            around.add(id(x))
+    anchored = id(top.best) in around or not held.isdisjoint(on_path)
+    around |= on_path
+    if not anchored:
+        held.add(id(top.best))
+    after = [x for x in map(_following, path) if x is not None]
+    held |= {id(x) for x in after if x.link_chars == x.chars}
     todo = [top]
     while todo:
         node = todo.pop()
         if id(node) in held:
             continue
-        inside = [c for c in node.children if isinstance(c, Node)]
-        menus = {
-            id(c) for c in inside
-            if id(c) not in around and c.links >= MENU_LINKS and c.link_chars == c.chars and c.density < threshold
-        }
-        node.children = [c for c in node.children if id(c) not in menus]
-        todo += [c for c in inside if id(c) not in menus]
+        stays = []
+        for c in node.children:
+            beside = isinstance(c, Node) and c.chars and id(c) not in around and id(c) not in held
+            if beside and c.density < threshold and (c.doubtful or c.tag in BLOCKS):
+                menu = c.link_chars == c.chars and not c.headings + c.paragraphs
+                if c.doubtful or menu or anchored and not c.headings:
+                    continue
+            stays.append(c)
+        node.children = stays
+        todo += [c for c in stays if isinstance(c, Node)]
 
 
 def main_text(html: str | None) -> str:
@@ -245,7 +289,7 @@ def main_text(html: str | None) -> str:
     builder.close()
     top = builder.root  # text after the body's end tag is the body's
     _measure(builder.nodes, top)
-    _cut_menus(builder.nodes, top)
+    _cut_sparse(builder.nodes, top)
     return "\n".join(_blocks(top))
 
 

@@ -377,6 +377,43 @@ def test_main_text_leaves_unmarked_menus_out():
     assert htmltext.main_text(menu + menu).count("Part") == 12
 
 
+def test_main_text_names_alone_cut_no_article_text():
+    text = "<p>" + "word " * 60 + "</p>"
+    price = f'<article><h1>T</h1>{text * 3}<div class="share-price"><p>It rose by two.</p></div></article>'
+    assert htmltext.main_text(price).endswith("\nIt rose by two.")
+    assert htmltext.main_text(f'<body><section id="search-for-life"><h1>Search</h1>{text}</section></body>').startswith("Search\nword")
+    links = "<ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"
+    for page in (f"<body><div>{text * 4}</div>{links}</body>", f"<div><article>{text * 4}</article>{links}</div>"):
+        assert htmltext.main_text(page).endswith("\nOne\nTwo\nThree")
+    for name in ("ad-slot-2", "site-footer", "comments", "post-comments", "cookie-notice", "related articles"):
+        assert htmltext.main_text(f'<article>{text}<div class="{name}"><p>Gone.</p></div></article>') == ("word " * 60).strip()
+
+
+def test_density_cuts_unnamed_blocks_beside_an_article(monkeypatch):
+    text = "<p>" + "word " * 60 + "</p>"
+    page = f"<body><div>Buy this now</div><h1>T</h1><article>{text * 4}<div>Short.</div></article><div><p>Sign up</p></div></body>"
+    kept = ["T", *["word " * 59 + "word"] * 4, "Short."]
+    assert htmltext.main_text(page).split("\n") == kept
+    monkeypatch.setattr(htmltext, "_cut_sparse", lambda nodes, top: None)
+    assert htmltext.main_text(page).split("\n") == ["Buy this now", *kept, "Sign up"]
+
+
+def test_densities():
+    """Characters a tag, adjusted by links, and their sums, for a page worked out by hand."""
+    builder = htmltext._Builder()
+    builder.feed("<body><div><p>" + "x" * 100 + "</p><p>" + "y" * 50 + "</p></div><ul><li><a>" + "z" * 10 + "</a></ul></body>")
+    builder.close()
+    htmltext._measure(builder.nodes, builder.root)
+    found = {(n.tag, n.chars): n for n in builder.nodes}
+    assert found["p", 100].density == pytest.approx(100 * np.log(100))
+    # 150 of 160 characters without links, two paragraphs below the node, no link tag
+    assert found["div", 150].density == pytest.approx(75 * np.log(150 * 2))
+    assert found["div", 150].sum == pytest.approx(100 * np.log(100) + 50 * np.log(50))
+    li, base = found["li", 10], np.log(10 / 1 * 10 + 10 / 160 * 10 + np.e)
+    assert li.density == pytest.approx(10 * np.log(max(10 / 10 * 1 / 1, 1)) / np.log(base)) == 0
+    assert builder.root.best is found["div", 150] or builder.root.best is found["body", 160]
+
+
 def test_extracted_rows(spark):
     pages = spark.createDataFrame([(1, "<article><p>a b</p></article>", "k"), (1, None, "k"), (None, "<p>q", "k")], "page_id long, html string, text string")
     got = htmltext.extracted(pages, into="main").collect()
