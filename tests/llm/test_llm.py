@@ -441,6 +441,29 @@ def test_contamination(spark):
         aho.contamination(docs(spark, rows), items, max_item_bytes=10)
 
 
+@pytest.mark.parametrize("base", [2, 3, 256])
+def test_scan_against_brute_force(monkeypatch, base):
+    """Codes of one to five letters a word; few words, so that windows overlap and repeat."""
+    monkeypatch.setattr(aho, "BASE", base)
+    rng = np.random.default_rng(base)
+    for n_words in (1, 3, 9, 12):
+        for _ in range(40):
+            def text(most):
+                return " ".join(f"w{k}" for k in rng.integers(0, n_words, int(rng.integers(0, most))))
+            items = [(k // 2, text(6)) for k in range(5)]
+            got = aho.scan(aho.Windows(items, 3), doc := text(30) + " other " + text(9))
+            words, hit, found = doc.split(), set(), set()
+            for item, t in items:
+                w = t.split()
+                for i in range(max(1, len(w) - 2) if w else 0):
+                    part = w[i : i + 3]
+                    for j in range(len(words) - len(part) + 1):
+                        if words[j : j + len(part)] == part:
+                            hit |= set(range(j, j + len(part)))
+                            found.add(item)
+            assert got[:3] == (len(words), len(hit), sorted(found)), (items, doc)
+
+
 # ---------------------------------------------------------------- exact duplicates
 def test_content_groups(spark):
     texts = ["a b", "ab", " a  b ", None, "", "\n", "c" * 100_000, "c" * 99_999 + "C", "c" * 100_000, "é", "e\u0301"]
