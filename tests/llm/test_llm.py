@@ -589,6 +589,45 @@ def test_archive_records(spark, tmp_path):
         archive.read_records(spark, cut).collect()
 
 
+def parsed_warc(data):
+    """(fields, block) of every record, by the lengths that the headers state."""
+    at, out = 0, []
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at) + 4
+        first, *lines = data[at : end - 4].decode().split("\r\n")
+        assert first == "WARC/1.1"
+        fields = dict(line.split(": ", 1) for line in lines)
+        assert len(fields) == len(lines)
+        n = int(fields["Content-Length"])
+        out.append((fields, data[end : end + n]))
+        at = end + n + 4
+        assert data[at - 4 : at] == b"\r\n\r\n"
+    return out
+
+
+def test_archive_for_other_readers(spark, tmp_path):
+    texts = ["x" * 200, "x" * 200, "a\r\n\r\nWARC/1.1\r\n", None]
+    rows = [(i, f"http://a/b%20c/{i}?q=%25", t, at) for (i, t), at in zip(enumerate(texts), ["2026-01-02 03:04:05+00:00", None, None, None])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, at string")
+    ids = set()
+    for name in ("one", "two"):
+        path = str(tmp_path / name)
+        archive.write_archive(pages, path, date_col="at")
+        records = parsed_warc(b"".join(bytes(r["record"]) for r in archive.reconstruct(spark, path).select("record").collect()))
+        by = {int(f["X-Page"]): (f, block) for f, block in records}
+        assert set(by) == {0, 1, 2, 3}
+        for i, text in enumerate(texts):
+            fields, block = by[i]
+            assert fields["WARC-Target-URI"] == rows[i][1] and block == (b"" if i == 1 else (text or "").encode())
+            assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", fields["WARC-Date"])
+            assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", fields["WARC-Record-ID"])
+            ids.add(fields["WARC-Record-ID"])
+        assert by[0][0]["WARC-Date"] == "2026-01-02T03:04:05Z"
+        assert by[1][0]["WARC-Refers-To"] == by[0][0]["WARC-Record-ID"] and by[1][0]["WARC-Type"] == "revisit"
+        assert {r["url"] for r in archive.read_records(spark, path).collect()} == {r[1] for r in rows}
+    assert len(ids) == 8  # no two archives share one
+
+
 # ---------------------------------------------------------------- pipeline
 @needs_tables
 def test_pipeline_stages(spark):
