@@ -18,8 +18,9 @@ similar to one more than 1/2 away, and sets linked with one leader are one compo
 already. Of the buckets that still hold several components, the sets are compared in blocks
 of bounded size, each pair of blocks by one matrix product.
 
-Equal sets are one node (128-bit digest, checked for collisions). Shingles are compared by
-64-bit hashes. Only signature rows, candidate pairs and the texts in them are moved.
+Equal sets are one node, named by the first of two 64-bit digests. Where different sets
+share it, all of them are named by both (``Names``), until no name is shared: about n * n / 2^65
+digests of n sets, so the list of them fits anywhere. Shingles are compared by 64-bit hashes. Only signature rows, candidate pairs and the texts in them are moved.
 
 Defined results: NULL, empty and blank texts have no shingles and no links, texts under
 ``width`` words are one shingle, rows with one id are one document, extra columns are
@@ -29,6 +30,8 @@ ignored, an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -55,6 +58,7 @@ BLOCK, COLUMNS = 256, 4096
 SEEN = 200_000
 
 _STEP = U64(0xD6E8FEB86659FD93)
+_SET_ROW = "id long, n long, node long, check long"
 
 
 # ---------------------------------------------------------------- sets
@@ -95,6 +99,29 @@ def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return sizes, out[0].view(np.int64), out[1].view(np.int64)
 
 
+@dataclass(frozen=True)
+class Names:
+    """How sets are named. ``clashes`` are first digests that different sets share; ``bits`` (for
+    tests) shortens the first digest so that they do."""
+
+    clashes: frozenset[int] = frozenset()
+    bits: int = 64
+    attempt: int = 0
+
+    def of(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sizes, names and second digests."""
+        sizes, names, second = digests(sets)
+        names &= np.int64(-1 << (64 - self.bits))
+        if self.clashes:
+            both = mix((names.view(np.uint64) + U64(self.attempt)) * _STEP + second.view(np.uint64)).view(np.int64)
+            shared = np.fromiter((x in self.clashes for x in names.tolist()), dtype=bool, count=len(names))
+            names = np.where(shared, both, names)
+        return sizes, names, second
+
+    def and_clashes(self, found: list[int]) -> Names:
+        return Names(self.clashes | frozenset(found), self.bits, self.attempt + 1)
+
+
 # ---------------------------------------------------------------- signatures
 def bands(size: int) -> list[tuple[int, int]]:
     """(band, most differences) for all bands that a set of this size has partners in."""
@@ -148,23 +175,23 @@ def signatures(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(infos)
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], names: Names) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, group in wordhash.buffers(batch.column("text").to_pylist()):
-            sizes, d1, d2 = digests(shingle_sets(group))
+            sizes, node, check = names.of(shingle_sets(group))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(at)), pa.array(sizes), pa.array(d1), pa.array(d2)],
+                [batch.column("id").take(pa.array(at)), pa.array(sizes), pa.array(node), pa.array(check)],
                 names=["id", "n", "node", "check"],
             )
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signature_rows(batches: Iterator[pa.RecordBatch], names: Names) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for batch in batches:
         for _, group in wordhash.buffers(batch.column("text").to_pylist()):
             sets = shingle_sets(group)
             found, nodes, infos = [], [], []
-            for s, node in zip(sets, digests(sets)[1].tolist(), strict=True):
+            for s, node in zip(sets, names.of(sets)[1].tolist(), strict=True):
                 if node in seen:
                     continue
                 if len(seen) >= SEEN:
@@ -219,13 +246,13 @@ def _with(rows: DataFrame, key: str, *aggregates: Column) -> DataFrame:
 
 
 # ---------------------------------------------------------------- verification
-def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _own_text(batches: Iterator[pa.RecordBatch], names: Names) -> Iterator[pa.RecordBatch]:
     """Rows whose text has the node's shingles: an id may be repeated with another text."""
     last = None
     for batch in batches:
         nodes, keep = batch.column("node").to_pylist(), []
         for at, group in wordhash.buffers(batch.column("text").to_pylist()):
-            for i, node in zip(at, digests(shingle_sets(group))[1].tolist(), strict=True):
+            for i, node in zip(at, names.of(shingle_sets(group))[1].tolist(), strict=True):
                 if node == nodes[i] and node != last:
                     keep.append(i)
                     last = node
@@ -270,27 +297,38 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def _texts(documents: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+def _texts(documents: DataFrame, nodes: DataFrame, needed: DataFrame, names: Names) -> DataFrame:
     """Text of one document for each needed node."""
-    wanted = needed.join(nodes.select("node", F.col("first").alias("id")), "node")
-    found = documents.join(wanted.withColumnRenamed("id", "first"), F.col("id").eqNullSafe(F.col("first")))
-    return staged(found.select("node", "text").mapInArrow(_own_text, "node long, text string"), "texts")
+    found = documents.join(needed.join(nodes, "node"), F.col("id").eqNullSafe(F.col("first")))
+    return staged(found.select("node", "text").mapInArrow(partial(_own_text, names=names), "node long, text string"), "texts")
 
 
 # ---------------------------------------------------------------- operator
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD) -> DataFrame:
+def _named(documents: DataFrame, names: Names) -> tuple[DataFrame, DataFrame, Names]:
+    """The set of each document, one row per node with its ``first`` document, and names that
+    no two different sets share."""
+    while True:
+        sets = staged(documents.mapInArrow(partial(_set_rows, names=names), _SET_ROW), "sets")
+        nodes = staged(sets.where("n > 0").groupBy("node").agg(
+            F.min("id").alias("first"), (F.min("check") != F.max("check")).alias("clash")
+        ), "nodes")
+        found = [r["node"] for r in nodes.where("clash").select("node").collect()]
+        if not found:
+            return sets, nodes.select("node", "first"), names
+        names = names.and_clashes(found)
+
+
+def jaccard_components(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, digest_bits: int = 64
+) -> DataFrame:
     """One row per input row: ``id``, ``n_shingles``, ``component`` (smallest id reachable
     by links of Jaccard similarity 3/4 or more, itself included)."""
     documents = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = staged(documents.mapInArrow(_set_rows, "id long, n long, node long, check long"), "sets")
-    nodes = sets.where("n > 0").groupBy("node").agg(
-        F.min("id").alias("first"), F.min("check").alias("c0"), F.max("check").alias("c1")
-    ).select("node", F.when(F.col("c0") == F.col("c1"), F.col("first")).otherwise(
-        F.raise_error(F.lit("two shingle sets have one digest"))).alias("first"))
+    sets, nodes, names = _named(documents, Names(bits=digest_bits))
 
     # Ranges of (sig, node), not of sig: a bucket of very many sets is split over tasks.
     shared = staged(
-        documents.mapInArrow(_signature_rows, "sig long, node long, info long")
+        documents.mapInArrow(partial(_signature_rows, names=names), "sig long, node long, info long")
         .repartitionByRange("sig", "node").sortWithinPartitions("sig", "node")
         .mapInArrow(_shared_rows, "sig long, node long, info long"), "signatures",
     )
@@ -310,7 +348,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = staged(rows.where("crowded").join(stay, ["node", "band"]).select("sig", "node"), "buckets")
     rows = staged(_with(rows, "sig", F.min("node").alias("lead")), "buckets")
     involved = pairs.select(F.col("lead").alias("node")).union(pairs.select("node")).union(rows.select("node")).distinct()
-    texts = _texts(documents, nodes, involved)
+    texts = _texts(documents, nodes, involved, names)
     pairs = staged(pairs.union(rows.where("node <> lead").select("lead", "node")).distinct(), "pairs")
     done = _verified(pairs, texts)
     labels = _components(done.where("near"))

@@ -237,6 +237,21 @@ def test_similarity_components(spark, seed):
     assert got == brute_components(rows)
     crowded = {r["id"]: (r["n_shingles"], r["component"]) for r in partenum.jaccard_components(docs(spark, rows), crowd=2).collect()}
     assert crowded == got
+    # 2 of 64 bits name at most four sets; the others are named by both digests
+    clashing = {r["id"]: (r["n_shingles"], r["component"]) for r in partenum.jaccard_components(docs(spark, rows), digest_bits=2).collect()}
+    assert clashing == got
+
+
+def test_names_of_sets_with_one_digest():
+    sets = [np.arange(k, k + 9, dtype=np.uint64) for k in range(300)] + [np.zeros(0, dtype=np.uint64)]
+    names = partenum.Names(bits=1)
+    first = names.of(sets)[1]
+    assert len(set(first.tolist())) == 2
+    names = names.and_clashes(sorted(set(first.tolist())))
+    _, again, check = names.of(sets)
+    assert len(set(again[:300].tolist())) == 300 and (check == partenum.digests(sets)[2]).all()
+    assert (again != names.and_clashes([]).of(sets)[1]).all()
+    assert (partenum.Names().of(sets)[1] == partenum.digests(sets)[1]).all()
 
 
 def test_similarity_odd_rows(spark):
