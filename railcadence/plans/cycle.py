@@ -93,25 +93,23 @@ def load_new_snapshots(
     ledger = T.read_history(spark, tables.ledger)
     if ledger is not None:  # rows of a failed attempt at this cycle do not count
         ledger = ledger.where(F.col("cycle") < cycle)
-    parsed, taken = [], []
-    for kind, prefix in S.SNAPSHOT_PREFIX.items():
+    taken = []
+    for prefix in S.SNAPSHOT_PREFIX.values():
         named = files.where(F.col("file_name").rlike(snapshots.snapshot_pattern(prefix)))
-        wanted = load.files_to_load(snapshots.latest_snapshot(named, prefix) if newest_only else named, ledger)
-        if newest_only:
-            newest = wanted.select("path").first()  # at most one row
-            if newest is None:
-                continue
-            records = snapshots.read_records(spark, newest["path"])
-        else:
-            records = snapshots.read_records(spark, landing).join(
-                wanted.select("file_name").distinct(), "file_name", "left_semi"
-            )
-        parsed.append(snapshots.parsed_records(records).withColumn("kind", F.lit(kind)))
-        taken.append(wanted.select("file_name"))
-    if not parsed:
-        return spark.createDataFrame([], "file_name string, line string")
+        taken.append(load.files_to_load(snapshots.latest_snapshot(named, prefix) if newest_only else named, ledger))
+    if newest_only:
+        newest = [r["path"] for wanted in taken for r in wanted.select("path").take(1)]  # at most one row each
+        if not newest:
+            return spark.createDataFrame([], "file_name string, line string")
+        records = snapshots.read_records(spark, newest)
+    taken = reduce(DataFrame.unionByName, taken).select("file_name").distinct()
+    if not newest_only:
+        records = snapshots.read_records(spark, landing, taken)
+    kind = F.coalesce(*[
+        F.when(F.col("file_name").rlike(snapshots.snapshot_pattern(prefix)), kind) for kind, prefix in S.SNAPSHOT_PREFIX.items()
+    ])
     with work_tables(spark, "load") as keep:
-        records = keep(reduce(DataFrame.unionByName, parsed), "records")
+        records = keep(snapshots.parsed_records(records).withColumn("kind", kind), "records")
         good = records.where("not rejected")
         passages = reduce(DataFrame.unionByName, [
             snapshots.snapshot_passages(good.where(F.col("kind") == kind), kind, "file_name") for kind in S.SNAPSHOT_PREFIX
@@ -119,7 +117,7 @@ def load_new_snapshots(
         load_passages(passages.drop("file_name"), tables, as_of, cycle)
         bad = records.where("rejected").select("file_name", "line")
         T.append_history(bad, tables.rejects, cycle)
-        loaded = keep(reduce(DataFrame.unionByName, taken).distinct(), "files")
+        loaded = keep(taken, "files")
         trip_rows = passages.where("call_pos = 0").select("file_name", "mission", "ends_at")
         T.append_history(load.counted_ledger_rows(loaded, trip_rows, bad, as_of), tables.ledger, cycle)
     rejects = T.read_history(spark, tables.rejects)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from railcadence import schema as S
 from railcadence.functions import text, times
@@ -23,7 +23,8 @@ def snapshot_pattern(prefix: str) -> str:
 
 def snapshot_name(path: Column) -> Column:
     """Snapshot of a file: the file itself, or the folder Spark wrote its parts to."""
-    return F.regexp_extract(path, r"([^/]+?)(?:/part-[^/]*)?$", 1)
+    last, folder = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(last.startswith("part-") & (folder != ""), folder).otherwise(last)
 
 
 def snapshot_path(path: Column) -> Column:
@@ -60,13 +61,109 @@ def latest_snapshot(files: DataFrame, prefix: str, by: Sequence[str] = ()) -> Da
 _FIELD = r'(?:"(?:[^"]++|"")*+"?+)?+[^,\n]*+'
 
 
-def read_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file_name, header, keys, line of snapshot files; see :func:`split_records`.
+_RECORD = rf"{_FIELD}(?:,{_FIELD})*+"
+# A text that ends inside a quoted field.
+_OPEN = r'\A(?:"(?:[^"]++|"")*+"[^,\n]*+[,\n]|[^",\n][^,\n]*+[,\n]|[,\n])*+"(?:[^"]++|"")*+\z'
+# 128 lines of a file are looked at as one text. Texts are gathered in at most 128 groups at a time.
+_SLICE_BITS = 7
 
-    A snapshot lists the trains of one moment, so a file is read whole.
+
+def _clean_text(content: str) -> Column:
+    return F.regexp_replace(content, "[\ufeff\r]", "")
+
+
+def _is_header(line: Column, first_column: str) -> Column:
+    return F.substring_index(line, ",", 1) == first_column
+
+
+def read_records(
+    spark: SparkSession, path: str | list[str], names: DataFrame | None = None, first_column: str = "mission"
+) -> DataFrame:
+    """file_name, header, keys, line of snapshot files, those listed in ``names`` (file_name) if given.
+
+    The records are those of :func:`split_records`, but no file is held whole: it is read in slices
+    of lines, and a record that reaches over slices is put together from its pieces.
     """
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return split_records(files.select(snapshot_name(F.col("_metadata.file_path")).alias("file_name"), "value"), "value")
+    files = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    at = F.col("_metadata.file_path")
+    lines = files.select(
+        at.alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"),  # the lines of a block are read in order, by one task
+        snapshot_name(at).alias("file_name"), "value",
+    )
+    # names and headers are one row per file, like the listing of files that the driver holds
+    if names is not None:
+        lines = lines.join(F.broadcast(names), "file_name", "left_semi")
+    # one aggregate that both uses need whole, so that the lines are dealt out once for both
+    gathered = F.array_sort(F.collect_list(F.struct("n", "value")))["value"]
+    slices = lines.groupBy("path", "size", "block", F.shiftright("n", _SLICE_BITS).alias("slice")).agg(
+        F.array_join(gathered, "\n").alias("raw")
+    ).withColumns({"text": _clean_text("raw"), "bytes": F.octet_length("raw") + 1})
+    located = slices.join(_slice_states(slices), ["path", "size", "block", "slice"])
+    # a header record starts a line; other slices need not be split to find it
+    starts = F.col("text").rlike(rf"(?:\A|\n){re.escape(first_column)}(?:[,\n]|\z)")
+    headers = _records_of_slices(located, starts).where(_is_header(F.col("line"), first_column)).groupBy("path").agg(
+        csv_fields(F.min("line")).alias("header")
+    )
+    keyed = headers.select("path", "header", text.normalize_keys(F.col("header")).alias("keys"))
+    records = _records_of_slices(located).where(~_is_header(F.col("line"), first_column))
+    return records.join(F.broadcast(keyed), "path").select(snapshot_name(F.col("path")).alias("file_name"), "header", "keys", "line")
+
+
+def _slice_states(slices: DataFrame) -> DataFrame:
+    """The slices without their text: before, after (1: inside a quoted field there), fresh, link, tail.
+
+    A slice maps the state before it to the one after it: it keeps, turns or sets it. So one pass
+    over two flags per slice gives all states. ``fresh`` tells that a record begins in the slice and goes
+    on after it, ``link`` is the slice where the record begins that comes into this one. ``tail`` is the line
+    break at the end of a file whose last field isn't closed; the reader of lines drops it.
+    """
+    text_, quote = F.col("text"), F.lit('"')
+    inside, has_quote = F.concat(quote, text_), F.col("text").contains('"')
+    notes = slices.select(
+        "path", "size", "block", "slice", "bytes",
+        (has_quote & text_.rlike(_OPEN)).cast("int").alias("_from_0"),
+        (~has_quote | inside.rlike(_OPEN)).cast("int").alias("_from_1"),
+        (has_quote & inside.rlike(rf"\A{_RECORD}\n")).alias("_ends"),
+    )
+    order = Window.partitionBy("path", "size").orderBy("block", "slice")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    turns = notes.withColumn("_turns", F.sum(F.when(F.col("_from_0") > F.col("_from_1"), 1).otherwise(0)).over(so_far))
+    fixed = F.when(F.col("_from_0") == F.col("_from_1"), (F.col("_from_0") + F.col("_turns")) % 2)
+    after = ((F.coalesce(F.last(fixed, ignorenulls=True).over(so_far), F.lit(0)) + F.col("_turns")) % 2).cast("int")
+    states = turns.withColumn("after", after).withColumns({
+        "before": F.lag("after", 1, 0).over(order),
+        "_last": F.lead("slice").over(order).isNull(),
+        "_rest": F.col("size") - F.sum("bytes").over(Window.partitionBy("path", "size")),
+    })
+    fresh = (F.col("after") == 1) & ((F.col("before") == 0) | F.col("_ends"))
+    # without a line break at its end a file is a byte shorter than its lines; a mark at its start has three
+    unclosed = F.col("_last") & (F.col("after") == 1) & F.col("_rest").isin(0, 3)
+    return states.withColumn("fresh", fresh).select(
+        "path", "size", "block", "slice", "before", "after", "fresh",
+        F.last(F.when(F.col("fresh"), F.struct("block", "slice")), ignorenulls=True).over(earlier).alias("link"),
+        F.when(unclosed, "\n").otherwise("").alias("tail"),
+    )
+
+
+def _records_of_slices(located: DataFrame, wanted: Column | None = None) -> DataFrame:
+    """path, line; with ``wanted`` of those slices only, and what reaches over slices."""
+    opening = F.when(F.col("before") == 1, '"').otherwise("")
+    # an open record reaches to the end of the text, where the pattern then fits once more, without any text
+    found = F.regexp_extract_all(F.concat(opening, "text", "tail"), F.lit(rf"({_RECORD})(?:\n|\z)"), F.lit(1))
+    n = F.size("found")
+    inner = F.slice("found", F.col("before") + 1, F.greatest(F.lit(0), n - F.col("before") - 2 * F.col("after")))
+    whole = (located if wanted is None else located.where(wanted)).withColumn("found", found)
+    whole = whole.select("path", F.explode(inner).alias("line"))
+    pieces = located.where("before + after > 0").withColumn("found", found).select("path", "block", "slice", F.explode(F.array_compact(F.array(
+        F.when(F.col("before") == 1, F.struct("link", F.expr("substring(found[0], 2)").alias("piece"))),
+        F.when(F.col("fresh"), F.struct(F.struct("block", "slice").alias("link"), F.get("found", n - 2).alias("piece"))),
+    ))).alias("p"))
+    joined = pieces.groupBy("path", "p.link").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("block", "slice", "p.piece")))["piece"], "\n").alias("line")
+    )
+    return whole.unionByName(joined.select("path", "line")).where(F.length(F.trim("line")) > 0)
 
 
 def split_records(files: DataFrame, content: str = "content", first_column: str = "mission") -> DataFrame:
@@ -76,12 +173,11 @@ def split_records(files: DataFrame, content: str = "content", first_column: str
     ``first_column``; files without one have no rows. Its names and their keys are
     worked out once per file. Blank records are left out.
     """
-    text_ = F.regexp_replace(content, "[\ufeff\r]", "")
-    records = F.regexp_extract_all(text_, F.lit(rf"({_FIELD}(?:,{_FIELD})*+)(?:\n|\z)"), F.lit(1))
+    records = F.regexp_extract_all(_clean_text(content), F.lit(rf"({_RECORD})(?:\n|\z)"), F.lit(1))
     listed = files.select("file_name", F.filter(records, lambda r: F.length(F.trim(r)) > 0).alias("lines"))
 
     def is_header(line: Column) -> Column:
-        return F.substring_index(line, ",", 1) == first_column
+        return _is_header(line, first_column)
 
     header = listed.select("*", csv_fields(F.array_min(F.filter("lines", is_header))).alias("header")).where(
         F.col("header").isNotNull()

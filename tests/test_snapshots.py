@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,44 @@ def test_written_snapshots_read_back(spark, tmp_path, rows):
     assert rows(got.select(*want.columns)) == rows(want)
 
 
+def odd_content(rng):
+    pieces = ['"', '""', ",", "\n", "\r\n", "a", " ", "\ufeff", "é", '"q\n', ',"x"', "mission,", "mission", "\u2028"]
+    head = rng.choice(["mission,Antony,b\n", '\ufeffmission,"Sceaux\nBas",b\n', "", "a\nmission\n"])
+    return head + "".join(rng.choice(pieces) for _ in range(rng.randrange(40))) + rng.choice(["", "\n", '"', '\n"open\n', '"open\n\n'])
+
+
+@pytest.mark.parametrize("bits, block", [(0, "100"), (1, "37"), (7, "1m")])
+def test_files_read_in_slices_of_lines(spark, tmp_path, rows, monkeypatch, bits, block):
+    rng, files = random.Random(bits), {}
+    for i in range(60):
+        content = files[f"f{i:02d}.csv"] = odd_content(rng)
+        (tmp_path / f"f{i:02d}.csv").write_bytes(content.encode())
+    monkeypatch.setattr(N, "_SLICE_BITS", bits)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        names = spark.createDataFrame([(f,) for f in files if f != "f07.csv"], "file_name string")
+        got = rows(N.read_records(spark, str(tmp_path), names))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [r for r in rows(records_of(spark, files)) if r[0] != "f07.csv"]
+    assert got == want and len(got) > 60
+
+
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("mission,Antony\n" + "".join(f'M{i},"x\ny"\n' for i in range(4000)))
+    settings = {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        parts = N.read_records(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(p["count"] for p in parts) == 4000 and max(p["count"] for p in parts) < 4000
+
+
 @pytest.mark.parametrize("missions, kept", [
     (["LORE90", "RATOPAL72", "KALI72", "RATPLORE90", None], ["KALI72", "LORE90", "RATOPAL72", None]),
 ])
