@@ -128,6 +128,22 @@ def land(folder, cycle):
 HISTORIES = ("scores", "gap_stats", "drift_stats", "gap_history")
 
 
+def test_payloads_of_one_file_are_parsed_by_several_tasks(spark, stops, tmp_path, root, monkeypatch):
+    landed = [(snapshot(n % 3), DAY + dt.timedelta(minutes=n)) for n in range(12)]
+    spark.createDataFrame(landed, "payload string, landed_at timestamp").coalesce(1).write.parquet(str(tmp_path / "landing"))
+    seen = []
+    monkeypatch.setattr(C, "load_passages", lambda p, *_: seen.append(p.select(F.spark_partition_id()).distinct().count()))
+    monkeypatch.setattr(C, "run_cycles", lambda *_: None)
+    source = spark.readStream.schema("payload string, landed_at timestamp").parquet(str(tmp_path / "landing"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        live.run_feed(spark, source, stops, C.Tables(f"{root}/t"), f"{root}/checkpoint", KEY, {"availableNow": True}).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(seen) == 1 and seen[0] > 1
+
+
 def test_cycles_and_stream_give_the_same_histories(spark, stops, tmp_path, root, rows):
     by_hand = C.Tables(f"{root}/batch")
     landing = tmp_path / "landing"
