@@ -102,6 +102,11 @@ def full_passages(events: DataFrame, service_date: str) -> DataFrame:
 
 
 CYCLE_HOURS = (9, 12, 15, 18)
+_PIECES = 1024
+_AROUND_JOURNEYS = (
+    '{"Siri":{"ServiceDelivery":{"EstimatedTimetableDelivery":[{"EstimatedJourneyVersionFrame":[{"EstimatedVehicleJourney":[',
+    "]}]}]}}}",
+)
 
 
 def event_stop_list(events: DataFrame) -> DataFrame:
@@ -139,15 +144,18 @@ def cycle_payloads(events: DataFrame) -> DataFrame:
     )
     letter = F.when(F.col("user_id") % 2 == 0, "E").otherwise("S")
     mission = F.concat(letter, F.lpad((F.col("user_id") % 1000).cast("string"), 3, "0"), F.lit("-"), F.col("user_id").cast("string"), F.lit("-"), F.col("day").cast("string"))
-    journeys = listed.groupBy("stamp", mission.alias("mission")).agg(F.collect_list(call).alias("calls")).select("stamp", F.struct(
+    journey = F.struct(
         F.array(F.struct(F.col("mission").alias("value"))).alias("VehicleJourneyName"),
         F.struct(F.col("calls").alias("EstimatedCall")).alias("EstimatedCalls"),
-    ).alias("journey"))
-    frame = F.struct(F.collect_list("journey").alias("EstimatedVehicleJourney"))
-    delivery = F.struct(F.array(frame).alias("EstimatedJourneyVersionFrame"))
-    service = F.struct(F.array(delivery).alias("EstimatedTimetableDelivery"))
-    doc = F.to_json(F.struct(F.struct(service.alias("ServiceDelivery")).alias("Siri")))
-    return journeys.groupBy("stamp").agg(doc.alias("payload")).select("payload", F.timestamp_micros("stamp").alias("landed_at"))
+    )
+    # a payload is put together as text, in two steps: as one nested value it would take a multiple of its length
+    named = listed.withColumn("mission", mission).withColumn("piece", F.pmod(F.xxhash64("mission"), F.lit(_PIECES)))
+    journeys = named.repartition("stamp", "piece").groupBy("stamp", "piece", "mission").agg(F.collect_list(call).alias("calls"))
+    pieces = journeys.groupBy("stamp", "piece").agg(F.listagg(F.to_json(journey), F.lit(",")).alias("text"))
+    head, tail = (F.lit(x) for x in _AROUND_JOURNEYS)
+    return pieces.groupBy("stamp").agg(F.concat(head, F.listagg("text", F.lit(",")), tail).alias("payload")).select(
+        "payload", F.timestamp_micros("stamp").alias("landed_at")
+    )
 
 
 def siri_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:

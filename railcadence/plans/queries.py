@@ -16,7 +16,7 @@ from railcadence.operators import (
     clean, drift, gaps, headway, latest, load, monitor, quality, reference, regularity, replay, reshape, serve, trips,
 )
 from railcadence.plans import adapters as A, cycle
-from railcadence.session import work_dir, work_tables
+from railcadence.session import one_group_at_a_time, work_dir, work_tables
 from railcadence.sinks import tables as sink
 from railcadence.sources import feed, snapshots
 from railcadence.streaming import feed as live, state
@@ -456,8 +456,9 @@ def replay_cycles(spark, d):
     """Scores of every cycle of every day, each from what was known then, in one pass."""
     events = A.table(spark, d, "events")
     folder = work_dir(spark, "replay")
-    parsed = feed.parse_siri(A.cycle_payloads(events), A.event_stop_list(events))
-    clean.clean_passages(parsed, F.col("observed_at")).write.parquet(f"{folder}/passages")
+    parsed = feed.parse_siri(A.cycle_payloads(events), A.event_stop_list(events), spread=True)
+    with one_group_at_a_time(spark):
+        clean.clean_passages(parsed, F.col("observed_at")).write.parquet(f"{folder}/passages")
     passages = spark.read.parquet(f"{folder}/passages")
     cycles = passages.select("service_date", F.unix_micros("observed_at").alias("as_of_us")).distinct()
     with work_tables(spark, "cycles") as keep:
@@ -472,10 +473,11 @@ def stream_update_cycles(spark, d):
     events = A.table(spark, d, "events")
     folder = work_dir(spark, "feed")
     hours = F.unix_micros("landed_at") / F.lit(3_600e6)
-    A.cycle_payloads(events).withColumn("part", F.floor((hours + 12) / 240).cast("bigint")).write.partitionBy("part").parquet(f"{folder}/payloads")
+    with one_group_at_a_time(spark):
+        sink.write_large_rows(A.cycle_payloads(events).withColumn("part", F.floor((hours + 12) / 240).cast("bigint")), f"{folder}/payloads")
     landed = spark.read.parquet(f"{folder}/payloads")
     for part in sorted(r[0] for r in landed.select("part").distinct().collect()):  # one file per ten days
-        landed.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/landing")
+        sink.write_large_rows(landed.where(F.col("part") == part).drop("part").coalesce(1), f"{folder}/landing")
     source = spark.readStream.schema("payload string, landed_at timestamp").option("maxFilesPerTrigger", 1).parquet(f"{folder}/landing")
     tables = cycle.Tables(f"{folder}/tables")
     live.run_feed(

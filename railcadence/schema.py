@@ -81,16 +81,27 @@ _JOURNEY = T.StructType([
     ])),
 ])
 
-_FRAME = T.StructType([T.StructField("EstimatedVehicleJourney", T.ArrayType(_JOURNEY))])
-_DELIVERY = T.StructType([T.StructField("EstimatedJourneyVersionFrame", T.ArrayType(_FRAME))])
 
-SIRI_PAYLOAD = T.StructType([
-    T.StructField("Siri", T.StructType([
-        T.StructField("ServiceDelivery", T.StructType([
-            T.StructField("EstimatedTimetableDelivery", T.ArrayType(_DELIVERY)),
+def _payload(journey: T.StructType) -> T.StructType:
+    frame = T.StructType([T.StructField("EstimatedVehicleJourney", T.ArrayType(journey))])
+    delivery = T.StructType([T.StructField("EstimatedJourneyVersionFrame", T.ArrayType(frame))])
+    return T.StructType([
+        T.StructField("Siri", T.StructType([
+            T.StructField("ServiceDelivery", T.StructType([
+                T.StructField("EstimatedTimetableDelivery", T.ArrayType(delivery)),
+            ])),
         ])),
-    ])),
+    ])
+
+
+SIRI_PAYLOAD = _payload(_JOURNEY)
+
+# The calls, by far the largest part of a payload, as the JSON text they are.
+SIRI_CALLS = _JOURNEY["EstimatedCalls"].dataType
+SIRI_JOURNEY_OF_TEXT = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name == "EstimatedCalls" else f.dataType) for f in _JOURNEY
 ])
+SIRI_PAYLOAD_OF_TEXT = _payload(SIRI_JOURNEY_OF_TEXT)
 
 STOP_LIST_CSV = T.StructType([
     T.StructField("geo_point_2d", T.StringType()),

@@ -58,6 +58,21 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/railcadence/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def one_group_at_a_time(spark: SparkSession) -> Iterator[None]:
+    """Collected lists of what is written inside are built group after group from sorted rows.
+
+    By default a task holds those of up to 128 groups at once, too much if a list is many megabytes.
+    """
+    key = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 Keep = Callable[[DataFrame, str], DataFrame]
 
 

@@ -45,6 +45,20 @@ def write_snapshot(df: DataFrame, folder: str, prefix: str, stamp: dt.datetime)
     return path
 
 
+def write_large_rows(df: DataFrame, path: str) -> None:
+    """Add rows that may be many megabytes each, like payloads, to a Parquet folder.
+
+    By default Parquet looks at its buffers after 100 rows only, a reader decodes the rows of a group
+    together, and the statistics of a text column are whole values, kept until the file is closed.
+    Here a group ends after about a megabyte of compressed data and texts have no statistics, so that
+    writers and readers hold one large row at a time. zstd compresses without buffers of a row's length.
+    """
+    options = {"compression": "zstd", "parquet.block.size": 1 << 20, "parquet.enable.dictionary": "false"}
+    options |= {f"parquet.page.size.row.check.{bound}": 1 for bound in ("min", "max")}  # after every row
+    options |= {f"parquet.column.statistics.enabled#{c}": "false" for c, kind in df.dtypes if kind == "string"}
+    df.write.mode("append").options(**options).parquet(path)
+
+
 def append_history(
     df: DataFrame, path: str, cycle: int | str, partition_by: Sequence[str] = ()
 ) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from railcadence import schema as S
 from railcadence.functions import text, times
@@ -21,23 +21,44 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _frames(payload: str, schema: T.StructType) -> Column:
+    """The frames of a payload's first delivery."""
+    doc = F.from_json(F.col(payload), schema)
+    return F.get(doc["Siri"]["ServiceDelivery"]["EstimatedTimetableDelivery"], F.lit(0))["EstimatedJourneyVersionFrame"]
+
+
+def _named(rows: DataFrame, calls: Column) -> DataFrame:
+    """Journeys ``j`` that have a name, with their calls."""
+    return rows.where(F.size("j.VehicleJourneyName") > 0).select(
+        "observed_at",
+        F.get("j.VehicleJourneyName", F.lit(0))["value"].alias("mission"),
+        F.coalesce(F.get("j.DestinationName", F.lit(0))["value"], F.lit("")).alias("destination"),
+        calls.alias("calls"),
+    )
+
+
 def journeys(payloads: DataFrame, observed_at: Column, payload: str = "payload") -> DataFrame:
     """One row per named journey of the first delivery, calls still nested."""
-    doc = F.from_json(F.col(payload), S.SIRI_PAYLOAD)
-    frames = F.get(doc["Siri"]["ServiceDelivery"]["EstimatedTimetableDelivery"], F.lit(0))[
-        "EstimatedJourneyVersionFrame"
-    ]
-    return (
-        payloads.select(observed_at.alias("observed_at"), F.explode(frames).alias("frame"))
-        .select("observed_at", F.explode("frame.EstimatedVehicleJourney").alias("j"))
-        .where(F.size("j.VehicleJourneyName") > 0)
-        .select(
-            "observed_at",
-            F.get("j.VehicleJourneyName", F.lit(0))["value"].alias("mission"),
-            F.coalesce(F.get("j.DestinationName", F.lit(0))["value"], F.lit("")).alias("destination"),
-            F.col("j.EstimatedCalls.EstimatedCall").alias("calls"),
-        )
-    )
+    frames = payloads.select(observed_at.alias("observed_at"), F.explode(_frames(payload, S.SIRI_PAYLOAD)).alias("frame"))
+    listed = frames.select("observed_at", F.explode("frame.EstimatedVehicleJourney").alias("j"))
+    return _named(listed, F.col("j.EstimatedCalls.EstimatedCall"))
+
+
+def spread_journeys(payloads: DataFrame, observed_at: Column, payload: str = "payload") -> DataFrame:
+    """:func:`journeys` dealt out to all tasks, for few or large payloads.
+
+    The task that reads a payload leaves the calls as text, which takes a fraction of their
+    memory; they are parsed where their journey goes. One generator lists the journeys, so no
+    frame is copied as a row of its own.
+    """
+    none = F.array().cast(T.ArrayType(S.SIRI_JOURNEY_OF_TEXT))
+    listed = F.flatten(F.transform(
+        _frames(payload, S.SIRI_PAYLOAD_OF_TEXT), lambda frame: F.coalesce(frame["EstimatedVehicleJourney"], none)
+    ))
+    rows = _named(payloads.select(observed_at.alias("observed_at"), F.explode(listed).alias("j")), F.col("j.EstimatedCalls"))
+    # what is no object has no calls; from_json would take the first object of an array
+    calls = F.when(F.col("calls").startswith("{"), F.from_json("calls", S.SIRI_CALLS))["EstimatedCall"]
+    return rows.repartition("observed_at", "mission").withColumn("calls", calls)
 
 
 def _timed_calls(calls: Column, field: str) -> Column:
@@ -59,6 +80,7 @@ def parse_siri(
     time_field: str | None = None,
     observed_at: Column | dt.datetime | str | None = None,
     payload: str = "payload",
+    spread: bool = False,
 ) -> DataFrame:
     """Payloads to passages, planned and real in one pass.
 
@@ -69,7 +91,8 @@ def parse_siri(
 
     Everything known per journey (origin, stop count, end time) is computed
     inside the journey's own call array before it is exploded: parsing never
-    shuffles. The stop list reaches the rows as one map value.
+    shuffles. The stop list reaches the rows as one map value. ``spread`` deals the
+    journeys out to all tasks, see :func:`spread_journeys`.
     """
     if observed_at is None:
         stamp = F.col("landed_at")
@@ -93,8 +116,9 @@ def parse_siri(
         F.struct(F.lit(kind).alias("kind"), _timed_calls(F.col("calls"), field).alias("calls"))
         for kind, field in wanted.items()
     ])
+    listed = (spread_journeys if spread else journeys)(payloads, stamp, payload)
     split = (
-        journeys(payloads, stamp, payload)
+        listed
         .select("observed_at", "mission", "destination", F.explode(per_kind).alias("k"))
         .select(
             "observed_at", "mission", "destination", "k.kind",

@@ -58,9 +58,8 @@ def run_feed(
     times, and departure times lie in the future.
     """
     def cycles(batch: DataFrame, batch_id: int) -> None:
-        # payloads that landed in one file don't stay in one task
-        spread = batch.repartition("landed_at", "payload")
-        C.load_passages(parse_siri(spread, stops), tables, F.col("observed_at"), batch_id)
+        # payloads that landed in one file don't stay in one task, nor do the journeys of one payload
+        C.load_passages(parse_siri(batch, stops, spread=True), tables, F.col("observed_at"), batch_id)
         # two small values per payload stamp, at most one stamp per file of the batch
         stamps = batch.select(
             F.unix_micros("landed_at").alias("us"), F.to_date("landed_at").cast("string").alias("day")

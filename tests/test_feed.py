@@ -163,3 +163,32 @@ def test_station_master(spark, tmp_path):
     path = tmp_path / "master.csv"
     path.write_text('geo;shape;name\n48.1, 2.1;"{""type"": ""Point""}";Gentilly\n', encoding="utf-8")
     assert [tuple(r) for r in read_station_master(spark, str(path)).collect()] == [("48.1, 2.1", '{"type": "Point"}', "Gentilly")]
+
+
+def odd_payloads():
+    """Journeys, calls and frames that aren't what they should be, one oddity a payload."""
+    good = journey("KALI72", "x", [call(100, "08:00:00+02:00", "08:04:00+02:00")])
+    twice = journey("BIPA84", None, [call(100, "08:20:00+02:00"), call(200, "08:30:00+02:00", "08:31:00+02:00")])
+    odd_calls = [None, 5, 1.50, True, "text", "", [], {}, [good["EstimatedCalls"]], {"EstimatedCall": None},
+                 {"EstimatedCall": "text"}, {"EstimatedCall": [3, *twice["EstimatedCalls"]["EstimatedCall"]]},
+                 {"EstimatedCall": [None, {"StopPointRef": 7, "AimedDepartureTime": "2026-04-15T08:00:00Z"}]},
+                 {"EstimatedCall": [{"StopPointRef": {"value": 'a:100:', "x": [1.0e400, "\u2028\ud83d"]}, "AimedDepartureTime": 2026}]},
+                 {"EstimatedCall": [{"StopPointRef": {"value": 'é"\\:100:'}, "AimedDepartureTime": "2026-04-15T08:00:00Z"}]}]
+    odd = [{**good, "EstimatedCalls": c} for c in odd_calls]
+    odd += [None, 5, "text", "{}", [], [good], {}, journey("", "x"), {**good, "VehicleJourneyName": "text"}, {**good, "VehicleJourneyName": {"value": "x"}},
+            {**good, "VehicleJourneyName": [None]}, {**good, "VehicleJourneyName": [{"value": "\ud83d\ude00\ud83d"}], "DestinationName": 3}]
+    out = [payload(good, o, twice) for o in odd]
+    for frames in (None, [], {}, [None], [{}], [{"EstimatedVehicleJourney": None}, {"EstimatedVehicleJourney": [good]}],
+                   [5, {"EstimatedVehicleJourney": [good]}], [{"EstimatedVehicleJourney": [good]}, {"EstimatedVehicleJourney": [twice, good]}]):
+        out.append(json.dumps({"Siri": {"ServiceDelivery": {"EstimatedTimetableDelivery": [{"EstimatedJourneyVersionFrame": frames}]}}}))
+    whole = payload(good, twice)
+    return out + [whole, whole[:-9], whole[:200], whole + "}", whole + whole, "", "null", "[]", f"[{whole}]", whole.replace("KALI", "KA\\tLI")]
+
+
+def test_spread_journeys_are_the_same(spark, stops, rows):
+    texts = odd_payloads()
+    payloads = spark.createDataFrame(
+        [(t, dt.datetime(2026, 4, 15) + dt.timedelta(hours=i)) for i, t in enumerate(texts)], "payload string, landed_at timestamp"
+    )
+    want = rows(feed.parse_siri(payloads, stops))
+    assert rows(feed.parse_siri(payloads, stops, spread=True)) == want and len(want) > 2 * len(texts)

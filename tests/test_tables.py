@@ -5,18 +5,20 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import random
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from railcadence import session
 from railcadence.operators import drift, gaps, headway, regularity
-from railcadence.plans import cycle as C
+from railcadence.plans import adapters, cycle as C
 from railcadence.sinks import tables as T
 from railcadence.sources import feed
 from railcadence.streaming import feed as live, state
 
-from test_feed import journey, payload
+from test_feed import call, journey, payload
 
 
 @pytest.fixture
@@ -144,6 +146,71 @@ def test_payloads_of_one_file_are_parsed_by_several_tasks(spark, stops, tmp_path
     assert len(seen) == 1 and seen[0] > 1
 
 
+def test_journeys_of_one_payload_are_parsed_by_several_tasks(spark, stops, tmp_path, root, monkeypatch):
+    one = payload(*[journey(f"KALI{i}", "x", [call(100, "08:00:00+02:00", "08:04:00+02:00")]) for i in range(50)])
+    spark.createDataFrame([(one, DAY)], "payload string, landed_at timestamp").coalesce(1).write.parquet(str(tmp_path / "landing"))
+    seen = []
+    monkeypatch.setattr(C, "load_passages", lambda p, *_: seen.append([r["count"] for r in p.groupBy(F.spark_partition_id()).count().collect()]))
+    monkeypatch.setattr(C, "run_cycles", lambda *_: None)
+    source = spark.readStream.schema("payload string, landed_at timestamp").parquet(str(tmp_path / "landing"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        live.run_feed(spark, source, stops, C.Tables(f"{root}/t"), f"{root}/checkpoint", KEY, {"availableNow": True}).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(seen) == 1 and sum(seen[0]) == 100 and len(seen[0]) > 1
+
+
+def test_large_rows_are_written_and_read_one_by_one(spark, tmp_path, rows):
+    rng, path = random.Random(3), str(tmp_path / "large")
+    sent = [(i, rng.randbytes(1 << 20).hex() if i % 2 else "small") for i in range(12)]
+    df = spark.createDataFrame(sent, "part bigint, payload string").coalesce(1)
+    T.write_large_rows(df.where("part < 4"), path)
+    T.write_large_rows(df.where("part >= 4"), path)
+    assert rows(spark.read.parquet(path)) == sorted(sent, key=lambda r: str(r[0]))
+    for file in os.listdir(path):
+        if file.endswith(".parquet"):
+            meta = pq.ParquetFile(f"{path}/{file}").metadata
+            groups = [meta.row_group(i) for i in range(meta.num_row_groups)]
+            assert max(g.num_rows for g in groups) <= 2
+            # whole values as statistics would stay in memory until the file is closed; other columns keep theirs
+            assert {(c.path_in_schema, c.statistics is not None and c.statistics.has_min_max) for g in groups for c in (g.column(0), g.column(1))} == {
+                ("part", True), ("payload", False)}
+
+
+def test_payloads_are_built_group_by_group(spark, rows):
+    start = dt.datetime(2024, 1, 1, 8)
+    events = spark.createDataFrame(
+        [(u, ("view", "click", "error")[u % 3], start + dt.timedelta(minutes=u), 0.5 * u) for u in range(300)] + [(None, "view", start, 1.0)],
+        "user_id bigint, event_type string, ts timestamp_ntz, value double",
+    )
+    key = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(key)
+    with session.one_group_at_a_time(spark):
+        built = adapters.cycle_payloads(events)
+        assert "ObjectHashAggregate" not in built._jdf.queryExecution().toString()
+        got = {r["landed_at"]: json.loads(r["payload"]) for r in built.collect()}
+    assert spark.conf.get(key) == before and len(got) == 2
+    for stamp, doc in got.items():
+        listed = doc["Siri"]["ServiceDelivery"]["EstimatedTimetableDelivery"][0]["EstimatedJourneyVersionFrame"][0]["EstimatedVehicleJourney"]
+        k = {9: 0, 12: 1}[stamp.astimezone(dt.timezone.utc).hour]
+        hour = start.replace(hour=(9, 12)[k])
+        wanted = {}
+        for u in range(300):
+            planned = start + dt.timedelta(minutes=u)
+            real = planned + dt.timedelta(seconds=0.5 * u * (k + 1))
+            if u % 3 <= k and real >= hour:
+                stop = adapters.EVENT_STOPS.index(("view", "click", "error")[u % 3]) + 1
+                wanted[f"{'SE'[u % 2 == 0]}{u:03d}-{u}-19723"] = [(f"a:{stop}:", planned, real)]
+        assert len(listed) == len(wanted) and {
+            j["VehicleJourneyName"][0]["value"]: [
+                (c["StopPointRef"]["value"], *(dt.datetime.fromisoformat(c[f"{x}DepartureTime"][:-1]) for x in ("Aimed", "Expected")))
+                for c in j["EstimatedCalls"]["EstimatedCall"]
+            ] for j in listed
+        } == wanted
+
+
 def test_cycles_and_stream_give_the_same_histories(spark, stops, tmp_path, root, rows):
     by_hand = C.Tables(f"{root}/batch")
     landing = tmp_path / "landing"
